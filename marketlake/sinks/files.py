@@ -54,12 +54,20 @@ def write_orc(df: DataFrame, path: str, mode: str = "overwrite", partition_by: S
 
 
 def avro_available(spark: SparkSession) -> bool:
-    """Whether the spark-avro module is on the classpath."""
+    """Whether the spark-avro module is on the classpath.
+
+    Resolves the ``avro`` format against a path that does not exist: a missing
+    module fails with "Failed to find data source", a present one with a
+    path error.
+    """
+    import uuid
+
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
-        return True
-    except Exception:
-        return False
+        spark.read.format("avro").load(f"/nonexistent-{uuid.uuid4().hex}")
+    except Exception as e:  # noqa: BLE001
+        text = str(e)
+        return not ("Failed to find data source" in text or "DATA_SOURCE_NOT_FOUND" in text)
+    return True
 
 
 def write_avro(df: DataFrame, path: str, avro_schema: str | None = None, mode: str = "overwrite") -> None:
