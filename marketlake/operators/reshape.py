@@ -16,6 +16,8 @@ from pyspark.sql.types import DecimalType
 
 # Spark's own ceiling for pivots without an explicit value list.
 MAX_PIVOT_VALUES = 10_000
+# Up to this many columns the pivot is one conditional aggregation (one shuffle).
+SINGLE_PASS_MAX_VALUES = 64
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -63,18 +65,26 @@ def pivot_first(
       shift). Without it the sorted distinct non-null keys are used.
     * ``order`` is required: "first" has no meaning after a shuffle otherwise.
 
-    Plan: partial ``min_by`` per (index, key) before the shuffle, so a hot
-    index value costs one row per map task, not one row per input row.
+    Plan: one partial aggregation per index value before a single shuffle on
+    the index (up to ``SINGLE_PASS_MAX_VALUES`` columns), so a hot index value
+    costs one row per map task, not one row per input row.
     """
     idx = _names(index)
     base = df.where(_all_not_null(idx + [key, value]))
     if values is None:
         values = pivot_values(base, key)
-    return (
-        base.groupBy(*idx)
-        .pivot(key, list(values))
-        .agg(F.min_by(F.col(value), _order_key(order)))
-    )
+    values = list(values)
+    ordering = _order_key(order)
+    if len(values) <= SINGLE_PASS_MAX_VALUES:
+        # One aggregation, one shuffle on the index: each output column is a
+        # min_by whose ordering is NULL (= ignored) unless the row has that key.
+        cells = [
+            F.min_by(F.col(value), F.when(F.col(key) == F.lit(v), ordering)).alias(str(v)) for v in values
+        ]
+        return base.groupBy(*idx).agg(*cells)
+    # Wide pivots: Spark's two-phase pivot (per-cell aggregate, then PivotFirst)
+    # evaluates one aggregate per row instead of one per listed value.
+    return base.groupBy(*idx).pivot(key, values).agg(F.min_by(F.col(value), ordering))
 
 
 def pivot_composite(

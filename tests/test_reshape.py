@@ -101,3 +101,23 @@ def test_union_by_name_and_overlap_dedup(spark):
     assert sorted(r["TIME"] for r in union_dedup([a, b]).collect()) == ["1999", "2000", "2001"]
     c = spark.createDataFrame([("2002",)], "TIME string")
     assert union_all([a, c]).where("TIME = '2002'").first()["v"] is None
+
+
+def test_wide_pivot_path_agrees_with_single_pass(spark):
+    from pyspark.sql import functions as F
+
+    from marketlake.operators.reshape import SINGLE_PASS_MAX_VALUES
+
+    n = SINGLE_PASS_MAX_VALUES + 6
+    df = spark.range(0, 2000).select(
+        (F.col("id") % 7).cast("string").alias("TIME"),
+        F.concat(F.lit("k"), (F.col("id") % n).cast("string")).alias("ITEM_NAME1"),
+        F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") * 0.5).alias("DATA_VALUE"),
+        (2000 - F.col("id")).alias("seq"),
+    )
+    keys = [f"k{i}" for i in range(n)]
+    wide = pivot_first(df, "TIME", "ITEM_NAME1", "DATA_VALUE", "seq", keys)  # Spark pivot path
+    narrow = pivot_first(df, "TIME", "ITEM_NAME1", "DATA_VALUE", "seq", keys[:5])  # single pass
+    a = sorted(tuple(r) for r in wide.select("TIME", *keys[:5]).collect())
+    b = sorted(tuple(r) for r in narrow.collect())
+    assert a == b
