@@ -143,12 +143,21 @@ def avro_conform(spark, sf_dir):
 # ----------------------------------------------------------------- typed loads / manifests
 
 
-def _price_text(price: str, digit: str):
+def price_text(price: str, digit: str | None = None):
+    """Price as landed text built from integer cents (exact in every engine),
+    optionally with one more decimal digit taken from ``digit``."""
     cents = F.round(F.col(price) * 100).cast("bigint")
-    return F.concat(
+    parts = [
         F.expr(f"CAST(ROUND({price} * 100) AS BIGINT) div 100").cast("string"), F.lit("."),
-        F.lpad((cents % 100).cast("string"), 2, "0"), (F.col(digit) % 10).cast("string"),
-    )
+        F.lpad((cents % 100).cast("string"), 2, "0"),
+    ]
+    if digit is not None:
+        parts.append((F.col(digit) % 10).cast("string"))
+    return F.concat(*parts)
+
+
+PRICE_TEXT_SQL = """CAST(CAST(round({p} * 100) AS BIGINT) // 100 AS VARCHAR) || '.'
+    || lpad(CAST(CAST(round({p} * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0')"""
 
 
 TYPED_LOAD_SQL = """SELECT TRY_CAST(CASE WHEN l_returnflag = 'R' THEN 'not a date'
@@ -174,7 +183,7 @@ def typed_load(spark, sf_dir):
         zfill("l_suppkey").alias("Code"),
         F.when(F.col("l_returnflag") == "R", F.lit("not a date"))
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("Date"),
-        _price_text("l_extendedprice", "l_linenumber").alias("OpenValue"),
+        price_text("l_extendedprice", "l_linenumber").alias("OpenValue"),
     )
     path = scratch_path(spark, "history_text")
     write_csv(text, path)

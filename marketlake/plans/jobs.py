@@ -20,7 +20,7 @@ from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_
 from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all
 from marketlake.operators.volatility import DEFAULT_THRESHOLD_PCT, daily_first_price, high_volatility
 from marketlake.sinks.files import write_csv, write_manifest, write_parquet
-from marketlake.sinks.jdbc import replicate_tables
+from marketlake.sinks.jdbc import replicate_tables, write_jdbc
 from marketlake.sinks.tables import append_rows, delete_keys, replace_table, table_exists, truncate_reload
 from marketlake.sources.files import delete_path, drop_row_index, read_csv, read_manifest
 from marketlake.sources.warehouse import list_tables
@@ -119,6 +119,42 @@ def manifest_load_job(spark: SparkSession, manifest_path: str, history_csv_dir:
     return spark.table(table)
 
 
+def manifest_jdbc_load_job(
+    spark: SparkSession,
+    manifest_path: str,
+    history_csv_dir: str,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    delete_manifest: bool = True,
+) -> bool:
+    """E4 into a warehouse: manifest codes -> all-text history (S3) -> typed
+    date / name / code / DECIMAL(8,2) (P5) -> JDBC append (K11).
+
+    The target is created with the typed schema if absent; codes already in
+    it are skipped, so a crash after the append and before the manifest
+    delete cannot double rows on the rerun. Returns whether a manifest was found.
+    """
+    manifest = read_manifest(spark, manifest_path)
+    if manifest is None:
+        return False
+    typed = typed_history(drop_row_index(read_csv(spark, history_csv_dir)))
+    write_jdbc(typed.limit(0), url, table, mode="append", properties=properties)  # K9: create if absent
+    # Column pruning reaches the database (SELECT "code" ...); the DISTINCT is
+    # pushed down too where the dialect supports aggregate push-down.
+    present = (
+        spark.read.format("jdbc").option("url", url).option("dbtable", table)
+        .option("pushDownAggregate", "true").options(**properties).load()
+        .select("code").distinct()
+    )
+    rows = typed.join(manifest.distinct(), "code", "left_semi").join(present, "code", "left_anti")
+    if not rows.isEmpty():  # F5
+        write_jdbc(rows, url, table, mode="append", properties=properties)
+    if delete_manifest:
+        delete_path(spark, manifest_path)
+    return True
+
+
 def rank_publish_job(
     page: DataFrame,
     metadata: DataFrame,
