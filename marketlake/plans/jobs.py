@@ -17,7 +17,7 @@ from marketlake.functions import int_code, parse_year, strip_quotes
 from marketlake.operators.conform import typed_history
 from marketlake.operators.history import attach, incremental_rows, split_known
 from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_k_codes, rank_top, zip_lists
-from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all
+from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_ranges
 from marketlake.operators.volatility import DEFAULT_THRESHOLD_PCT, daily_first_price, high_volatility
 from marketlake.sinks.files import write_csv, write_manifest, write_parquet
 from marketlake.sinks.jdbc import replicate_tables, write_jdbc
@@ -59,13 +59,16 @@ def macro_wide_job(
     return truncate_reload(processed, table, root)
 
 
-def statements_job(parts: Sequence[DataFrame], keys: Sequence[str], values: Sequence[Sequence[str]] | None,
-                   order: str | Sequence[str], table: str, root: str) -> DataFrame:
+def statements_job(parts: Sequence, keys: Sequence[str], values: Sequence[Sequence[str]] | None,
+                   order: str | Sequence[str], table: str, root: str, range_column: str | None = None) -> DataFrame:
     """Overlapping yearly parts (U2) -> year -> date (X1) -> composite pivot (A4) -> table.
 
-    The reference only printed this result; here it is stored.
+    ``parts`` are DataFrames, or ``(df, lo, hi)`` with ``range_column`` set, in
+    which case overlaps are removed at the scans (first fetch wins) instead of
+    by the pivot's "first". The reference only printed this result; here it is stored.
     """
-    stmts = union_all(parts).withColumn("Date", parse_year("TIME"))
+    merged = union_ranges(parts, range_column).drop(range_column) if range_column else union_all(parts)
+    stmts = merged.withColumn("Date", parse_year("TIME"))
     wide = pivot_composite(stmts, "Date", keys, "DATA_VALUE", order, values)
     return truncate_reload(wide, table, root)
 

@@ -17,6 +17,7 @@ from marketlake.operators.reshape import (
     select_rename,
     union_all,
     union_dedup,
+    union_ranges,
 )
 from marketlake.plans.catalog import register
 from marketlake.plans.standins import (
@@ -92,15 +93,19 @@ def _composite_sql() -> str:
     )
 
 
-def yearly_statement_parts(spark, sf_dir):
-    """Orders as yearly statements fetched in four overlapping ranges (U2 input)."""
-    o = read_table(spark, sf_dir, "orders").select(
+def yearly_statements(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders").select(
         stat_time("o_orderdate", "A").alias("TIME"),
         F.col("o_orderstatus").alias("ITEM_NAME1"),
         F.col("o_orderpriority").alias("ITEM_NAME2"),
         F.col("o_totalprice").alias("DATA_VALUE"),
         F.col("o_orderkey").alias("seq"),
     )
+
+
+def yearly_statement_parts(spark, sf_dir):
+    """Orders as yearly statements fetched in four overlapping ranges (U2 input)."""
+    o = yearly_statements(spark, sf_dir)
     year = F.col("TIME").cast("int")
     return [o.where(year.between(lo, hi)) for lo, hi in YEAR_RANGES]
 
@@ -189,7 +194,22 @@ def union_all_parts(spark, sf_dir):
 FROM orders""",
 )
 def union_overlap_dedup(spark, sf_dir):
-    """Four overlapping ranges; boundary years arrive twice and are collapsed."""
+    """Four overlapping yearly ranges; each boundary year is kept from the first
+    part that fetched it, by range filters at the scans (no shuffle)."""
+    o = yearly_statements(spark, sf_dir).withColumn("__year", F.col("TIME").cast("int"))
+    parts = [(o.where(F.col("__year").between(lo, hi)), lo, hi) for lo, hi in YEAR_RANGES]
+    return union_ranges(parts, "__year").drop("__year")
+
+
+@register(
+    "union_overlap_distinct",
+    """SELECT DISTINCT strftime(o_orderdate, '%Y') AS "TIME", o_orderstatus AS "ITEM_NAME1",
+  o_orderpriority AS "ITEM_NAME2", o_totalprice AS "DATA_VALUE", o_orderkey AS seq
+FROM orders""",
+)
+def union_overlap_distinct(spark, sf_dir):
+    """U2 when the parts' ranges are unknown: UNION then DISTINCT (one shuffle,
+    partial de-duplication map-side)."""
     return union_dedup(yearly_statement_parts(spark, sf_dir))
 
 

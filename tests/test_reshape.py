@@ -121,3 +121,14 @@ def test_wide_pivot_path_agrees_with_single_pass(spark):
     a = sorted(tuple(r) for r in wide.select("TIME", *keys[:5]).collect())
     b = sorted(tuple(r) for r in narrow.collect())
     assert a == b
+
+
+def test_union_ranges_first_fetch_wins_without_shuffle(spark, capsys):
+    from marketlake.operators.reshape import union_ranges
+
+    a = spark.createDataFrame([(1999, 1.0), (2000, 2.0)], "y int, v double")
+    b = spark.createDataFrame([(2000, 20.0), (2001, 3.0)], "y int, v double")  # revised 2000 arrives later
+    out = union_ranges([(a, 1990, 2000), (b, 2000, 2010)], "y")
+    assert sorted(tuple(r) for r in out.collect()) == [(1999, 1.0), (2000, 2.0), (2001, 3.0)]
+    out.explain()
+    assert "Exchange" not in capsys.readouterr().out
