@@ -174,3 +174,34 @@ def high_volatility_q(spark, sf_dir):
     series = daily_first_price(li, "l_suppkey", "l_shipdate", "l_extendedprice",
                                ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"])
     return high_volatility(series, 5.0)
+
+
+@register(
+    "per_key_upsert",
+    f"""WITH h AS ({HISTORY_SQL}), top AS ({TOP100_SQL}),
+stored AS (SELECT code, date, price, row_key FROM h
+           WHERE date < DATE '{CUTOFF}' AND status = 'F' AND code IN (SELECT code FROM top)),
+last AS (SELECT code, max(date) AS last_date FROM stored GROUP BY code)
+SELECT * FROM stored
+UNION ALL
+SELECT h.code, h.date, h.price, h.row_key FROM h LEFT JOIN last ON h.code = last.code
+WHERE h.code IN (SELECT code FROM top) AND (last.last_date IS NULL OR h.date > last.last_date)""",
+)
+def per_key_upsert(spark, sf_dir):
+    """One directory per code (the top-100 only); the stored history is
+    laid down, then the incoming rows are upserted twice (the rerun writes
+    nothing). Only code directories with newer rows are rewritten."""
+    from pyspark.sql.types import StructType
+
+    from marketlake.session import scratch_path
+    from marketlake.sinks.files import upsert_per_key
+
+    schema = StructType.fromDDL("code bigint, date date, price double, row_key bigint")
+    top = ranked_companies(spark, sf_dir).select("code")
+    path = scratch_path(spark, "per_code_history")
+    stored = stored_history(spark, sf_dir).join(top, "code", "left_semi")
+    incoming = price_history(spark, sf_dir).select(*COLS).join(top, "code", "left_semi")
+    upsert_per_key(spark, path, stored, schema)
+    upsert_per_key(spark, path, incoming, schema)
+    upsert_per_key(spark, path, incoming, schema)
+    return spark.read.schema(schema).parquet(path).select(*COLS)

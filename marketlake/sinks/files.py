@@ -129,3 +129,39 @@ def write_manifest(codes: DataFrame, path: str, key: str = "code") -> bool:
         return False
     write_csv(codes.select(key).distinct(), path, mode="overwrite")
     return True
+
+
+def upsert_per_key(
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    schema,
+    key: str = "code",
+    date: str = "date",
+    fmt: str = "parquet",
+) -> bool:
+    """K15 + U3: add incoming rows that are newer than each code's stored last
+    day, rewriting only the code directories that receive rows.
+
+    The replacement (stored rows of the touched codes + their new rows) is
+    checkpointed to the shared checkpoint directory before the dynamic
+    overwrite, so the write never depends on files it is replacing. Re-running
+    after a failure recomputes the same (or an empty) increment. Returns
+    whether anything was written.
+    """
+    from marketlake.operators.history import incremental_rows
+    from marketlake.session import cut_lineage
+    from marketlake.sources.files import path_exists
+
+    cols = [f.name for f in schema.fields]
+    if path_exists(spark, path):
+        stored = spark.read.schema(schema).format(fmt).load(path).select(*cols)
+    else:
+        stored = spark.createDataFrame([], schema)
+    delta = incremental_rows(stored, incoming.select(*cols), key, date)
+    touched = delta.select(key).distinct()
+    replacement = cut_lineage(stored.join(touched, key, "left_semi").unionByName(delta))
+    if replacement.isEmpty():
+        return False
+    write_per_key(replacement, path, key, fmt=fmt)
+    return True
