@@ -1,0 +1,87 @@
+"""A code holding ~40 % of all rows: results equal brute force, hot groups are reduced map-side."""
+
+import datetime as dt
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.operators.history import incremental_rows, latest_date, latest_row
+from marketlake.operators.reshape import group_sum, pivot_first
+from marketlake.operators.volatility import daily_first_price, high_volatility
+
+N = 30_000
+HOT = 7
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    # ids below 40 % of N all belong to code HOT; the rest spread over 50 codes.
+    return spark.range(0, N, numPartitions=8).select(
+        F.when(F.col("id") < int(N * 0.4), F.lit(HOT)).otherwise(F.col("id") % 50).cast("long").alias("code"),
+        (F.lit(dt.date(2020, 1, 1)) + (F.col("id") % 400).cast("int")).alias("date"),
+        (F.col("id") % 997 + 1).cast("double").alias("price"),
+        F.col("id").alias("row_key"),
+    )
+
+
+@pytest.fixture(scope="module")
+def pdf(skewed):
+    return skewed.toPandas()
+
+
+def _plan(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_hot_code_holds_a_third(pdf):
+    assert (pdf.code == HOT).mean() >= 1 / 3
+
+
+def test_latest_date_and_row_match_brute_force(skewed, pdf, capsys):
+    got = {r.code: r.last_date for r in latest_date(skewed).collect()}
+    assert got == pdf.groupby("code").date.max().to_dict()
+    rows = {r.code: r.row_key for r in latest_row(skewed, "code", ["date", "row_key"]).collect()}
+    exp = pdf.sort_values(["date", "row_key"]).groupby("code").row_key.last().to_dict()
+    assert rows == exp
+    assert "partial_max" in _plan(latest_row(skewed, "code", ["date", "row_key"]), capsys)
+
+
+def test_increment_matches_brute_force(skewed, pdf, spark):
+    stored = skewed.where(F.col("date") < F.lit("2020-06-01").cast("date"))
+    got = sorted(r.row_key for r in incremental_rows(stored, skewed).collect())
+    st = pdf[pdf.date < dt.date(2020, 6, 1)]
+    last = st.groupby("code").date.max()
+    m = pdf.join(last.rename("last"), on="code")
+    exp = sorted(m[m.date > m["last"]].row_key.tolist()
+                 + pdf[~pdf.code.isin(last.index)].row_key.tolist())
+    assert got == exp
+
+
+def test_daily_series_bounds_the_window(skewed, pdf, capsys):
+    series = daily_first_price(skewed, "code", "date", "price", ["row_key"])
+    # the hot code's window partition is bounded by its calendar days, not its rows
+    assert series.where(F.col("code") == HOT).count() == pdf[pdf.code == HOT].date.nunique()
+    out = high_volatility(series, 50.0)
+    first = pdf.sort_values("row_key").groupby(["code", "date"]).price.first().reset_index()
+    first["prev"] = first.sort_values("date").groupby("code").price.shift()
+    first["chg"] = (first.price / first.prev - 1.0) * 100.0
+    exp = first[first.prev.notna() & (first.chg.abs() >= 50.0)]
+    assert out.count() == len(exp)
+    assert "partial_min_by" in _plan(series, capsys)
+
+
+def test_pivot_and_sum_with_hot_index(skewed, pdf, capsys):
+    long = skewed.select(
+        F.when(F.col("code") == HOT, F.lit("hot")).otherwise(F.lit("cold")).alias("TIME"),
+        (F.col("code") % 3).cast("string").alias("ITEM_NAME1"),
+        F.col("price").alias("DATA_VALUE"),
+        "row_key",
+    )
+    wide = pivot_first(long, "TIME", "ITEM_NAME1", "DATA_VALUE", "row_key", ["0", "1", "2"])
+    text = _plan(wide, capsys)
+    assert "partial_min_by" in text and text.count("Exchange") == 1  # one shuffle, after partial aggregation
+    sums = {r.TIME: r.total for r in group_sum(long, "TIME", "DATA_VALUE", "total", 4).collect()}
+    assert sums["hot"] == float(pdf[pdf.code == HOT].price.sum())
