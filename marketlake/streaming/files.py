@@ -60,6 +60,21 @@ def ingest_new_files(
         raise RuntimeError(str(q.exception()))
 
 
+def upsert_batch(batch: DataFrame, table: str, key: str = "code", date: str = "date") -> bool:
+    """Append the rows of ``batch`` that are newer than ``table``'s last day per code.
+
+    Identical rows inside the batch (the same record delivered by two
+    overlapping files) are kept once. Applying the same batch twice appends
+    nothing the second time. Returns whether rows were appended.
+    """
+    stored = batch.sparkSession.table(table)
+    delta = incremental_rows(stored, batch.dropDuplicates(), key, date)
+    if delta.isEmpty():
+        return False
+    append_rows(delta, table)
+    return True
+
+
 def upsert_new_files(
     spark: SparkSession,
     source_dir: str,
@@ -79,10 +94,7 @@ def upsert_new_files(
     """
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        stored = batch.sparkSession.table(table)
-        delta = incremental_rows(stored, batch, key, date)
-        if not delta.isEmpty():
-            append_rows(delta, table)
+        upsert_batch(batch, table, key, date)
 
     q = (
         file_stream(spark, source_dir, schema, fmt)
