@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import int_code, parse_year, strip_quotes
 from marketlake.operators.conform import typed_history
-from marketlake.operators.history import attach, incremental_rows, split_known
+from marketlake.operators.common import bounded_broadcast
+from marketlake.operators.history import attach, incremental_rows, retention_split, split_known
 from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_k_codes, rank_top, zip_lists
 from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_ranges
 from marketlake.operators.volatility import DEFAULT_THRESHOLD_PCT, daily_first_price, high_volatility
 from marketlake.sinks.files import write_csv, write_manifest, write_parquet
 from marketlake.sinks.jdbc import replicate_tables, write_jdbc
-from marketlake.sinks.tables import append_rows, delete_keys, replace_table, table_exists, truncate_reload
+from marketlake.sinks.tables import append_rows, replace_table, table_exists, truncate_reload
 from marketlake.sources.files import delete_path, drop_row_index, read_csv, read_manifest
 from marketlake.sources.warehouse import list_tables
 
@@ -91,13 +92,14 @@ def history_refresh_job(
     """
     spark = companies.sparkSession
     top = rank_top(companies, n, "metric", "code").select("code", "name")
-    stored = spark.table(history_table)
-    _, new = split_known(top, stored)
+    # Only the listed codes' stored rows matter (for the split and their last
+    # dates): one broadcast semi-join prunes the history scan to them.
+    stored_top = spark.table(history_table).select("code", "date").join(
+        bounded_broadcast(top.select("code")), "code", "left_semi")
+    _, new = split_known(top, stored_top)
     candidates = attach(prices, top, "code", ["name"], bounded=True)
     if start is not None:
         candidates = candidates.where(F.col("date") >= F.lit(start).cast("date"))
-    # Only the listed codes' stored rows matter for their last dates.
-    stored_top = stored.select("code", "date").join(F.broadcast(top.select("code")), "code", "left_semi")
     rows = incremental_rows(stored_top, candidates)
     if not rows.isEmpty():
         append_rows(rows, history_table)
@@ -202,11 +204,14 @@ def top_volatility_job(
 
 
 def retention_job(history_table: str, keep: DataFrame, root: str, key: str = "code") -> DataFrame:
-    """Delete the history of codes that are no longer listed (J3 -> K13)."""
+    """Delete the history of codes that are no longer listed (J3 -> K13).
+
+    The survivors are published as the table's new version in one pass: the
+    history is semi-joined with the (bounded, broadcast) list of listed codes.
+    """
     spark = keep.sparkSession
-    current = spark.table(history_table).select(key).distinct()
-    leaving = current.join(F.broadcast(keep.select(key).distinct()), key, "left_anti")
-    return delete_keys(history_table, leaving, root, key)
+    survivors, _ = retention_split(spark.table(history_table), keep, key)
+    return replace_table(survivors, history_table, root)
 
 
 def replicate_schema_job(spark: SparkSession, database: str, url: str, properties: Mapping[str, str],
