@@ -23,17 +23,21 @@ def parse_statistics(
     root: str = "StatisticSearch",
     keep: Sequence[str] = (),
     strict: bool = False,
+    with_position: bool = False,
+    position: str = "row_pos",
 ) -> DataFrame:
-    """Explode envelope documents held in a text column into one row per record."""
+    """Explode envelope documents held in a text column into one row per record.
+
+    ``with_position`` adds the record's 0-based position in its document, the
+    natural "input order" for pivot-first.
+    """
     parsed = F.from_json(F.col(doc_col), envelope_schema(row_schema, root))
     rows = F.col("__env").getField(root).getField("row")
     if strict:
         rows = F.when(rows.isNull(), F.raise_error(F.lit(f"response without {root}.row"))).otherwise(rows)
-    return (
-        df.select(*keep, parsed.alias("__env"))
-        .select(*keep, F.explode(rows).alias("__r"))
-        .select(*keep, "__r.*")
-    )
+    exploded = df.select(*keep, parsed.alias("__env")).select(*keep, F.posexplode(rows).alias(position, "__r"))
+    cols = [*keep, "__r.*"] + ([position] if with_position else [])
+    return exploded.select(*cols)
 
 
 def read_statistics(
@@ -46,13 +50,15 @@ def read_statistics(
     """Landed response files (one JSON document per file) -> long rows.
 
     Files are independent tasks; each document is parsed with the explicit
-    schema, never inferred. ``source_file`` tells which response a row came from.
+    schema, never inferred. ``source_file`` and ``row_pos`` tell which response
+    a row came from and where in it, i.e. the input order.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     docs = spark.read.text(paths, wholetext=True).select(
         F.col("value").alias("__doc"), F.col("_metadata.file_path").alias("source_file")
     )
-    return parse_statistics(docs, "__doc", row_schema, root, keep=["source_file"], strict=strict)
+    return parse_statistics(docs, "__doc", row_schema, root, keep=["source_file"], strict=strict,
+                            with_position=True)
 
 
 def to_stat_long(rows: DataFrame) -> DataFrame:
