@@ -1,7 +1,6 @@
 """Pivot / group-sum / union semantics on hand-written fixtures (Korean item names)."""
 
 import pytest
-from pyspark.sql import Row
 
 from marketlake.operators.reshape import (
     group_sum,

@@ -5,7 +5,6 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from marketlake.operators.conform import conform, typed_history
 from marketlake.schemas import AVRO_HISTORY
