@@ -152,26 +152,32 @@ def union_dedup(dfs: Sequence[DataFrame], keys: Sequence[str] | None = None) ->
     return u.dropDuplicates(list(keys)) if keys else u.distinct()
 
 
-def union_ranges(parts: Sequence[tuple[DataFrame, object, object]], column: str) -> DataFrame:
-    """UNION of parts fetched over overlapping inclusive ranges ``[lo, hi]`` of ``column``.
-
-    Each part keeps only the rows no earlier part's range covers, so a
-    shared boundary period comes from the first part that fetched it (the
-    concat-then-"first" rule) and no row is duplicated. Unlike ``distinct``
-    this needs no shuffle at all: each part is filtered where it is scanned.
+def union_first_wins(parts: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
+    """UNION of parts fetched with overlapping conditions (e.g. date ranges).
+
+    Part ``i`` keeps the rows matching its own condition that no earlier
+    part's condition covers, so a shared period comes from the first part
+    that fetched it (the concat-then-"first" rule) and nothing is duplicated.
+    Unlike ``distinct`` this needs no shuffle; conditions on raw columns are
+    pushed into each part's scan.
     """
     if not parts:
-        raise ValueError("union_ranges needs at least one part")
-    c = F.col(column)
+        raise ValueError("union_first_wins needs at least one part")
     kept = []
-    for i, (df, lo, hi) in enumerate(parts):
-        cond = c.between(F.lit(lo), F.lit(hi))
-        for _, plo, phi in parts[:i]:
-            cond = cond & ~c.between(F.lit(plo), F.lit(phi))
-        kept.append(df.where(cond))
+    for i, (df, cond) in enumerate(parts):
+        c = cond
+        for _, earlier in parts[:i]:
+            c = c & ~F.coalesce(earlier, F.lit(False))
+        kept.append(df.where(c))
     return union_all(kept)
 
 
+def union_ranges(parts: Sequence[tuple[DataFrame, object, object]], column: str) -> DataFrame:
+    """``union_first_wins`` for inclusive ranges ``[lo, hi]`` of ``column``."""
+    c = F.col(column)
+    return union_first_wins([(df, c.between(F.lit(lo), F.lit(hi))) for df, lo, hi in parts])
+
+
 def select_rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Keep the mapped columns (in mapping order) under their new names."""
     return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst in mapping.items()])

@@ -18,7 +18,7 @@ from marketlake.operators.conform import typed_history
 from marketlake.operators.common import bounded_broadcast
 from marketlake.operators.history import attach, incremental_rows, retention_split, split_known
 from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_k_codes, rank_top, zip_lists
-from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_ranges
+from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_first_wins
 from marketlake.operators.volatility import DEFAULT_THRESHOLD_PCT, daily_first_price, high_volatility
 from marketlake.sinks.files import write_csv, write_manifest, write_parquet
 from marketlake.sinks.jdbc import replicate_tables, write_jdbc
@@ -61,15 +61,18 @@ def macro_wide_job(
 
 
 def statements_job(parts: Sequence, keys: Sequence[str], values: Sequence[Sequence[str]] | None,
-                   order: str | Sequence[str], table: str, root: str, range_column: str | None = None) -> DataFrame:
+                   order: str | Sequence[str], table: str, root: str, drop: Sequence[str] = ()) -> DataFrame:
     """Overlapping yearly parts (U2) -> year -> date (X1) -> composite pivot (A4) -> table.
 
-    ``parts`` are DataFrames, or ``(df, lo, hi)`` with ``range_column`` set, in
-    which case overlaps are removed at the scans (first fetch wins) instead of
-    by the pivot's "first". The reference only printed this result; here it is stored.
+    ``parts`` are DataFrames (overlaps collapse in the pivot's "first"), or
+    ``(df, condition)`` pairs, in which case overlaps are removed at the scans
+    (first fetch wins). The reference only printed this result; here it is stored.
     """
-    merged = union_ranges(parts, range_column).drop(range_column) if range_column else union_all(parts)
-    stmts = merged.withColumn("Date", parse_year("TIME"))
+    if parts and isinstance(parts[0], tuple):
+        merged = union_first_wins(parts)
+    else:
+        merged = union_all(parts)
+    stmts = merged.drop(*drop).withColumn("Date", parse_year("TIME"))
     wide = pivot_composite(stmts, "Date", keys, "DATA_VALUE", order, values)
     return truncate_reload(wide, table, root)
 

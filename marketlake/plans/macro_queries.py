@@ -17,7 +17,7 @@ from marketlake.operators.reshape import (
     select_rename,
     union_all,
     union_dedup,
-    union_ranges,
+    union_first_wins,
 )
 from marketlake.plans.catalog import register
 from marketlake.plans.standins import (
@@ -94,20 +94,26 @@ def _composite_sql() -> str:
 
 
 def yearly_statements(spark, sf_dir):
+    """Orders as yearly statements; ``__d`` (the date) carries the fetch ranges."""
     return read_table(spark, sf_dir, "orders").select(
         stat_time("o_orderdate", "A").alias("TIME"),
         F.col("o_orderstatus").alias("ITEM_NAME1"),
         F.col("o_orderpriority").alias("ITEM_NAME2"),
         F.col("o_totalprice").alias("DATA_VALUE"),
         F.col("o_orderkey").alias("seq"),
+        F.to_date("o_orderdate").alias("__d"),
     )
 
 
+def year_range(lo: int, hi: int):
+    """Years ``lo..hi`` inclusive, on the date column (pushed to the scan)."""
+    return F.col("__d").between(F.lit(f"{lo}-01-01").cast("date"), F.lit(f"{hi}-12-31").cast("date"))
+
+
 def yearly_statement_parts(spark, sf_dir):
     """Orders as yearly statements fetched in four overlapping ranges (U2 input)."""
     o = yearly_statements(spark, sf_dir)
-    year = F.col("TIME").cast("int")
-    return [o.where(year.between(lo, hi)) for lo, hi in YEAR_RANGES]
+    return [o.where(year_range(lo, hi)).drop("__d") for lo, hi in YEAR_RANGES]
 
 
 @register("pivot_composite", _composite_sql())
@@ -196,9 +202,8 @@ FROM orders""",
 def union_overlap_dedup(spark, sf_dir):
     """Four overlapping yearly ranges; each boundary year is kept from the first
     part that fetched it, by range filters at the scans (no shuffle)."""
-    o = yearly_statements(spark, sf_dir).withColumn("__year", F.col("TIME").cast("int"))
-    parts = [(o.where(F.col("__year").between(lo, hi)), lo, hi) for lo, hi in YEAR_RANGES]
-    return union_ranges(parts, "__year").drop("__year")
+    o = yearly_statements(spark, sf_dir)
+    return union_first_wins([(o, year_range(lo, hi)) for lo, hi in YEAR_RANGES]).drop("__d")
 
 
 @register(
