@@ -34,7 +34,7 @@ def summarise(plan: str) -> dict:
         "windows": count(r"\bWindow \["),
         "top_n": count(r"TakeOrderedAndProject"),
         "python": "yes" if re.search(r"(BatchEvalPython|ArrowEvalPython|PythonUDF)", plan) else "no",
-        "pushed": "; ".join(pushed)[:120],
+        "pushed": "; ".join(pushed)[:160],
     }
 
 
@@ -44,6 +44,7 @@ def main(argv):
     import __spark_entry__ as entry
 
     spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # untruncated PushedFilters
     spark.sparkContext.setLogLevel("ERROR")
     rows = []
     for name, fn in entry.queries().items():
