@@ -113,12 +113,14 @@ def write_partitioned(
     w.save(path)
 
 
-def write_per_key(df: DataFrame, path: str, key: str = "code", fmt: str = "csv", files_per_key: int = 1) -> None:
+def write_per_key(df: DataFrame, path: str, key: str = "code", fmt: str = "csv", files_per_key: int = 4) -> None:
     """One directory per code, replaced as a whole; untouched codes survive.
 
     Dynamic partition overwrite: only the codes present in ``df`` are rewritten.
-    Meant for bounded key sets (a top-N list); for unbounded keys partition by
-    a coarser column and sort by the key inside files instead.
+    Each code is written by up to ``files_per_key`` tasks, so a code with a
+    large share of the rows is not a single writer. Meant for bounded key sets
+    (a top-N list); for unbounded keys partition by a coarser column and sort
+    by the key inside files instead.
     """
     write_partitioned(df, path, [key], files_per_value=files_per_key, fmt=fmt, mode="overwrite", dynamic=True)
 
