@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CSV_WRITE_OPTIONS = {"escape": '"'}
+
 
 def write_csv(
     df: DataFrame,
@@ -17,14 +19,16 @@ def write_csv(
     sort_by: Sequence[str] | None = None,
     **options,
 ) -> None:
-    """K1 / K6: CSV with a header, no index column; fields quoted only when needed.
+    """K1 / K6: CSV with a header, no index column; fields quoted only when needed,
+    quotes doubled (RFC 4180, what pandas and warehouse COPY expect); NULL is
+    an unquoted empty field, the empty string is "".
 
     ``sort_by`` orders the output across part files (a range shuffle) for
     consumers that expect the pandas sorted-index layout. No BOM is written.
     """
     if sort_by:
         df = df.orderBy(*sort_by)
-    w = df.write.mode(mode).option("header", header)
+    w = df.write.mode(mode).option("header", header).options(**CSV_WRITE_OPTIONS)
     if compression:
         w = w.option("compression", compression)
     for k, v in options.items():
@@ -109,7 +113,7 @@ def write_partitioned(
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).options(**CSV_WRITE_OPTIONS)
     w.save(path)
 
 

@@ -12,6 +12,11 @@ from marketlake.functions import key_from_path
 
 ROW_INDEX_COL = "_c0"  # how Spark names the unnamed index column pandas writes first
 
+# RFC 4180 like pandas and warehouse COPY: quotes inside fields are doubled.
+# An unquoted empty field is NULL, a quoted empty field ("") the empty string;
+# the NUL null marker keeps the reader from folding "" into NULL.
+CSV_READ_OPTIONS = {"escape": '"', "nullValue": "\u0000"}
+
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
@@ -25,7 +30,7 @@ def read_csv(
     check_header: bool = False,
     **options,
 ) -> DataFrame:
-    """CSV with a header (a UTF-8 BOM is stripped), comma, quoted fields.
+    """CSV with a header (a UTF-8 BOM is stripped), comma, RFC 4180 quoting.
 
     With ``schema`` nothing is inferred (codes keep their leading zeros);
     ``check_header=True`` fails when the header names differ from the schema
@@ -33,6 +38,7 @@ def read_csv(
     is text (S3), to be typed explicitly afterwards.
     """
     reader = spark.read.option("header", header).option("multiLine", options.pop("multiLine", False))
+    reader = reader.options(**CSV_READ_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", not check_header)
     for k, v in options.items():

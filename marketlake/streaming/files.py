@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from marketlake.operators.history import incremental_rows
+from marketlake.sources.files import CSV_READ_OPTIONS
 from marketlake.sinks.tables import append_rows
 
 
@@ -23,7 +24,7 @@ def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: s
     """Streaming scan of every file under ``source_dir`` (any depth) with an explicit schema."""
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).options(**CSV_READ_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in options.items():

@@ -101,3 +101,15 @@ def test_read_parts_fan_in(spark):
     spark.createDataFrame([(1, "x")], "id long, s string").write.parquet(a)
     spark.createDataFrame([("y", 2)], "s string, id long").write.parquet(b)
     assert sorted(tuple(r) for r in read_parts(spark, [a, b]).select("id", "s").collect()) == [(1, "x"), (2, "y")]
+
+
+def test_pandas_written_csv_doubled_quotes(spark):
+    import pandas as pd
+
+    d = scratch_path(spark, "pandas_csv")
+    os.makedirs(_local(d), exist_ok=True)
+    pd.DataFrame({"name": ['Berkshire "B"', "a,b", None], "code": ["005930", "000660", "035720"]}).to_csv(
+        os.path.join(_local(d), "top.csv"), index=False, encoding="utf-8-sig")
+    schema = StructType([StructField("name", StringType()), StructField("code", StringType())])
+    rows = [tuple(r) for r in read_csv(spark, d, schema=schema, check_header=True).collect()]
+    assert rows == [('Berkshire "B"', "005930"), ("a,b", "000660"), (None, "035720")]
