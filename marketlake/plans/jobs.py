@@ -78,23 +78,24 @@ def statements_job(parts: Sequence, keys: Sequence[str], values: Sequence[Sequen
 
 
 def history_refresh_job(
-    companies: DataFrame,
+    listing: DataFrame,
     prices: DataFrame,
     history_table: str,
     manifest_path: str,
-    n: int = 100,
     start: str | None = None,
 ) -> DataFrame:
-    """Rank the top ``n`` (W1/L2), split known / new codes against the stored
-    history (J2), take every price row of the top codes that is newer than the
-    code's last stored day or belongs to a new code (S11/A5/F3), attach the
-    company name (J6), append (U3/K15) and list the new codes in a manifest (K14).
-
-    ``companies``: code, name, metric. ``prices``: code, date, price, row_key.
-    Rerunning with the same inputs appends nothing.
+    """For the listed codes (``listing``: code, name — the day's top-N
+    snapshot, de-duplicated like ``SELECT DISTINCT name, code``), split known /
+    new codes against the stored history (J2), take every price row that is
+    newer than the code's last stored day or belongs to a new code (S11/A5/F3;
+    ``start`` bounds the backfill), attach the name (J6), append (U3/K15) and
+    list the new codes in a manifest (K14).
+
+    ``prices``: code, date, price, row_key. ``listing`` must be bounded (it is
+    broadcast). Rerunning with the same inputs appends nothing.
     """
-    spark = companies.sparkSession
-    top = rank_top(companies, n, "metric", "code").select("code", "name")
+    spark = listing.sparkSession
+    top = listing.select("code", "name").distinct()
     # Only the listed codes' stored rows matter (for the split and their last
     # dates): one broadcast semi-join prunes the history scan to them.
     stored_top = spark.table(history_table).select("code", "date").join(
@@ -110,6 +111,11 @@ def history_refresh_job(
     return spark.table(history_table)
 
 
+def top_listing(companies: DataFrame, n: int = 100) -> DataFrame:
+    """The top-``n`` listing (code, name) by ``metric`` (ties by code)."""
+    return rank_top(companies, n, "metric", "code").select("code", "name")
+
+
 def manifest_load_job(spark: SparkSession, manifest_path: str, history_csv_dir: str, table: str) -> DataFrame:
     """Load the landed all-text history of the codes in the manifest (S10 -> S3 ->
     F5 -> P5 -> append), then delete the manifest after the commit. Codes already

@@ -171,3 +171,21 @@ def upsert_per_key(
         return False
     write_per_key(replacement, path, key, fmt=fmt)
     return True
+
+
+def drop_key_dirs(spark: SparkSession, path: str, keep: DataFrame, key: str = "code") -> list[str]:
+    """K13 on the per-key layout: delete the ``key=<code>`` directories of codes
+    not in ``keep`` (the objects of codes that left the listing).
+
+    Only directory names travel to the driver (a listing, like the object
+    listing it replaces); the rows themselves are never read.
+    """
+    from marketlake.sources.files import delete_path, list_objects
+
+    listing = list_objects(spark, path, None).select(
+        F.regexp_extract("path", rf"/{key}=([^/]+)/[^/]*$", 1).alias(key)).where(F.col(key) != "").distinct()
+    leaving = listing.join(keep.select(F.col(key).cast("string").alias(key)).distinct(), key, "left_anti")
+    gone = sorted(r[key] for r in leaving.collect())
+    for code in gone:
+        delete_path(spark, f"{path.rstrip('/')}/{key}={code}")
+    return gone

@@ -144,3 +144,16 @@ def test_jdbc_reload_idempotent(spark, scratch, top):
     reload_jdbc(top, url, "APP.TOP", props)
     reload_jdbc(top, url, "APP.TOP", props)
     assert read_jdbc(spark, url, "APP.TOP", props).count() == 2
+
+
+def test_drop_key_dirs_for_codes_that_left(spark, scratch):
+    from marketlake.sinks.files import drop_key_dirs
+
+    p = scratch("perkey")
+    write_per_key(spark.createDataFrame([("005930", 1.0), ("000660", 2.0), ("035720", 3.0)], "code string, v double"),
+                  p, fmt="parquet")
+    keep = spark.createDataFrame([("005930",), ("000660",)], "code string")
+    assert drop_key_dirs(spark, p, keep) == ["035720"]
+    got = sorted(r.code for r in spark.read.schema("v double, code string").parquet(p).collect())
+    assert got == ["000660", "005930"]
+    assert drop_key_dirs(spark, p, keep) == []
