@@ -127,3 +127,31 @@ def delete_keys(name: str, keys: DataFrame, root: str, key: str = "code", spark:
     current = spark.table(name)
     survivors = current.join(keys.select(key).distinct(), key, "left_anti")
     return replace_table(survivors, name, root)
+
+
+def vacuum_versions(spark: SparkSession, name: str, root: str, keep_previous: int = 1) -> list[str]:
+    """Delete old version directories of ``name``.
+
+    Keeps the current version and the ``keep_previous`` newest older ones
+    (readers that planned against them may still be scanning). Only directory
+    names are listed on the driver. Returns the deleted paths.
+    """
+    from marketlake.sources.files import delete_path
+
+    current = table_location(spark, name).rstrip("/")
+    base = f"{root.rstrip('/')}/{name.replace('.', '/')}"
+    jvm = spark._jvm
+    base_path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = base_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base_path):
+        return []
+    versions = sorted(
+        (st.getPath().toString() for st in fs.listStatus(base_path)
+         if st.isDirectory() and st.getPath().getName().startswith("v-")),
+        key=lambda p: int(p.rsplit("/v-", 1)[1].split("-")[0]),
+    )
+    older = [v for v in versions if v.rstrip("/") != current and not current.endswith(v.split(":", 1)[-1])]
+    doomed = older[:-keep_previous] if keep_previous > 0 else older
+    for v in doomed:
+        delete_path(spark, v)
+    return doomed

@@ -157,3 +157,18 @@ def test_drop_key_dirs_for_codes_that_left(spark, scratch):
     got = sorted(r.code for r in spark.read.schema("v double, code string").parquet(p).collect())
     assert got == ["000660", "005930"]
     assert drop_key_dirs(spark, p, keep) == []
+
+
+def test_vacuum_keeps_current_and_previous(spark, scratch, top):
+    import time
+
+    from marketlake.sinks.tables import vacuum_versions
+
+    name, root = _name(), scratch("tables")
+    for _ in range(4):
+        replace_table(top, name, root)
+        time.sleep(0.01)
+    deleted = vacuum_versions(spark, name, root, keep_previous=1)
+    assert len(deleted) == 2
+    assert spark.table(name).count() == 2
+    assert vacuum_versions(spark, name, root, keep_previous=1) == []
