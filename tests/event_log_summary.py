@@ -1,0 +1,76 @@
+"""Per-stage task statistics from a Spark event log (no UI, no REST API).
+
+Usage: python tests/event_log_summary.py <event-log-file-or-dir> [min_tasks]
+
+For every stage: tasks, total / max / median task time (ms), and max / median
+input+shuffle records per task. max >> median on records is what skew looks like.
+"""
+
+from __future__ import annotations
+
+import glob
+import json
+import os
+import statistics
+import sys
+from collections import defaultdict
+
+
+def load(path: str):
+    # Spark 4 writes rolling logs: eventlog_v2_<app>/events_<n>_<app>[.zstd|...]
+    files = [path] if os.path.isfile(path) else sorted(
+        f for f in glob.glob(os.path.join(path, "**", "*"), recursive=True)
+        if os.path.isfile(f) and not os.path.basename(f).startswith("appstatus"))
+    for f in files:
+        if f.endswith(".zstd"):
+            import io
+
+            import zstandard
+
+            with open(f, "rb") as raw:
+                text = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(raw), encoding="utf-8")
+                for line in text:
+                    if line.strip():
+                        yield json.loads(line)
+        else:
+            with open(f) as fh:
+                for line in fh:
+                    if line.strip():
+                        yield json.loads(line)
+
+
+def summarise(events):
+    names, tasks = {}, defaultdict(list)
+    for e in events:
+        kind = e.get("Event")
+        if kind == "SparkListenerStageSubmitted":
+            info = e["Stage Info"]
+            names[(info["Stage ID"], info["Stage Attempt ID"])] = info["Stage Name"]
+        elif kind == "SparkListenerTaskEnd" and e.get("Task Metrics"):
+            m = e["Task Metrics"]
+            info = e["Task Info"]
+            records = m.get("Input Metrics", {}).get("Records Read", 0) + \
+                m.get("Shuffle Read Metrics", {}).get("Total Records Read", 0)
+            took = info["Finish Time"] - info["Launch Time"]
+            tasks[(e["Stage ID"], e["Stage Attempt ID"])].append((took, records))
+    for key in sorted(tasks):
+        ts = tasks[key]
+        times, recs = [t for t, _ in ts], [r for _, r in ts]
+        yield {
+            "stage": key[0], "name": names.get(key, "?")[:60], "tasks": len(ts),
+            "total_ms": sum(times), "max_ms": max(times), "median_ms": int(statistics.median(times)),
+            "max_records": max(recs), "median_records": int(statistics.median(recs)),
+        }
+
+
+def main(argv):
+    min_tasks = int(argv[2]) if len(argv) > 2 else 1
+    rows = [r for r in summarise(load(argv[1])) if r["tasks"] >= min_tasks]
+    print(f"{'stage':>5} {'tasks':>5} {'total_ms':>8} {'max_ms':>7} {'med_ms':>7} {'max_rec':>9} {'med_rec':>9}  name")
+    for r in rows:
+        print(f"{r['stage']:>5} {r['tasks']:>5} {r['total_ms']:>8} {r['max_ms']:>7} {r['median_ms']:>7} "
+              f"{r['max_records']:>9} {r['median_records']:>9}  {r['name']}")
+
+
+if __name__ == "__main__":
+    main(sys.argv)
