@@ -27,3 +27,24 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
 def is_empty(df: DataFrame) -> bool:
     """Empty-input guard: reads at most one row (not a full ``count``)."""
     return df.isEmpty()
+
+
+DEFAULT_SALT_BUCKETS = 8
+
+
+def salted_join(big: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
+                buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Join a large, possibly skewed frame with a frame of (at most) one row per key.
+
+    The large side gets a deterministic salt (a hash of the whole row, so a
+    retried task routes every row the same way); the per-key side is
+    replicated once per salt value. A key holding a third of the rows is then
+    spread over ``buckets`` join tasks even where AQE cannot split it (AQE
+    only splits joins whose both children are shuffles, not a join that
+    reuses an aggregate's partitioning). ``how``: inner, left, left_semi,
+    left_anti. When the per-key side is small enough AQE still broadcasts it.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(buckets)).cast("int")
+    left = big.withColumn("__salt", salt)
+    right = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return left.join(right, [key, "__salt"], how).drop("__salt")

@@ -84,3 +84,9 @@ def test_pivot_and_sum_with_hot_index(skewed, pdf, capsys):
     assert "partial_min_by" in text and text.count("Exchange") == 1  # one shuffle, after partial aggregation
     sums = {r.TIME: r.total for r in group_sum(long, "TIME", "DATA_VALUE", "total", 4).collect()}
     assert sums["hot"] == float(pdf[pdf.code == HOT].price.sum())
+
+
+def test_increment_join_is_salted(skewed, capsys):
+    text = _plan(incremental_rows(skewed.where(F.col("date") < F.lit("2020-06-01").cast("date")), skewed), capsys)
+    join_lines = [ln for ln in text.splitlines() if "Join" in ln]
+    assert join_lines and all("__salt" in ln for ln in join_lines)
