@@ -224,11 +224,12 @@ def retention_job(history_table: str, keep: DataFrame, root: str, key: str = "co
 
 
 def replicate_schema_job(spark: SparkSession, database: str, url: str, properties: Mapping[str, str],
-                         target_prefix: str = "", max_parallel: int = 4) -> list[str]:
-    """Every table of ``database`` (S9) -> JDBC target, truncate + reload."""
+                         target_prefix: str = "", max_parallel: int = 4, staging_dir: str | None = None) -> list[str]:
+    """Every table of ``database`` (S9) -> [gzip CSV staging (K6)] -> JDBC
+    target, truncate + reload (K12)."""
     names = [r["tablename"] for r in list_tables(spark, database).collect()]  # catalog metadata
     sources = {n: spark.table(f"`{database}`.`{n}`") for n in names}
-    return replicate_tables(sources, url, properties, target_prefix, max_parallel)
+    return replicate_tables(sources, url, properties, target_prefix, max_parallel, staging_dir)
 
 
 def ensure_table(spark: SparkSession, name: str, df: DataFrame, root: str) -> DataFrame:

@@ -172,3 +172,18 @@ def test_vacuum_keeps_current_and_previous(spark, scratch, top):
     assert len(deleted) == 2
     assert spark.table(name).count() == 2
     assert vacuum_versions(spark, name, root, keep_previous=1) == []
+
+
+def test_list_jdbc_tables_and_staged_replication(spark, scratch, top):
+    from marketlake.sinks.jdbc import replicate_tables
+    from marketlake.sources.warehouse import list_jdbc_tables
+
+    url = f"jdbc:derby:{_local(scratch('derby'))};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    copied = replicate_tables({"TOP_A": top, "TOP_B": top.limit(1)}, url, props, "APP.", 2, scratch("staging"))
+    assert sorted(copied) == ["TOP_A", "TOP_B"]
+    derby_catalog = ("SELECT s.SCHEMANAME AS schemaname, t.TABLENAME AS tablename FROM SYS.SYSTABLES t "
+                     "JOIN SYS.SYSSCHEMAS s ON t.SCHEMAID = s.SCHEMAID WHERE s.SCHEMANAME = 'APP'")
+    names = sorted(r.TABLENAME for r in list_jdbc_tables(spark, url, "APP", props, derby_catalog).collect())
+    assert names == ["TOP_A", "TOP_B"]
+    assert read_jdbc(spark, url, "APP.TOP_A", props).count() == 2
