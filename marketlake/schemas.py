@@ -59,7 +59,7 @@ TOP_SNAPSHOT = StructType([
 ])
 
 # Warehouse price history: date DATE, name, code, open_value NUMERIC(8,2).
-US_STOCK_DATA = StructType([
+PRICE_HISTORY = StructType([
     StructField("date", DateType(), True),
     StructField("name", StringType(), True),
     StructField("code", StringType(), True),

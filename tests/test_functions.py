@@ -57,19 +57,19 @@ def test_decimal_half_up_and_overflow_to_null(spark):
 def test_paths_and_uris(spark):
     r = one(
         spark,
-        mf.key_from_path(F.lit("s3://b/us_stock_data/history/AAPL.csv")).alias("flat"),
+        mf.key_from_path(F.lit("s3://lake/history/AAPL.csv")).alias("flat"),
         mf.key_from_path(F.lit("file:/x/hist/code=005930/part-0000.csv")).alias("hive"),
         mf.key_from_path(F.lit("s3://b/p/readme.txt")).alias("other"),
-        mf.uri_bucket(F.lit("s3://team-bucket/newb_data/raw/ExchangeRate.csv")).alias("bucket"),
-        mf.uri_key(F.lit("s3://team-bucket/newb_data/raw/ExchangeRate.csv")).alias("key"),
-        mf.file_stem(F.lit("/tmp/Processed_Korea.csv")).alias("stem"),
-        mf.strip_prefix(F.lit("Processed_Korea"), "Processed_").alias("np"),
+        mf.uri_bucket(F.lit("s3://my-bucket/raw/rates/daily.csv")).alias("bucket"),
+        mf.uri_key(F.lit("s3://my-bucket/raw/rates/daily.csv")).alias("key"),
+        mf.file_stem(F.lit("/data/Processed_rates.csv")).alias("stem"),
+        mf.strip_prefix(F.lit("Processed_rates"), "Processed_").alias("np"),
         mf.strip_suffix(F.lit("public.t1.csv.gz"), ".csv.gz").alias("ns"),
-        mf.object_path("us_stock_data/history/", F.lit("AAPL")).alias("obj"),
+        mf.object_path("history/", F.lit("AAPL")).alias("obj"),
     )
     assert (r.flat, r.hive, r.other) == ("AAPL", "005930", None)
-    assert (r.bucket, r.key) == ("team-bucket", "newb_data/raw/ExchangeRate.csv")
-    assert (r.stem, r.np, r.ns, r.obj) == ("Processed_Korea", "Korea", "public.t1", "us_stock_data/history/AAPL.csv")
+    assert (r.bucket, r.key) == ("my-bucket", "raw/rates/daily.csv")
+    assert (r.stem, r.np, r.ns, r.obj) == ("Processed_rates", "rates", "public.t1", "history/AAPL.csv")
 
 
 def test_map_lookup_default(spark):
