@@ -75,3 +75,23 @@ def test_kospi_and_sentiment(spark):
     long = to_stat_long(read_statistics(spark, _land(spark, {"k.json": rows})))
     assert series.kospi(long).columns == ["TIME", "KOSDAQ", "KOSPI"]
     assert series.news_sentiment(long).columns == ["TIME", "NewsSentiment"]
+
+
+def test_macro_job_end_to_end_with_punctuated_korean_columns(spark):
+    from marketlake.plans import jobs
+
+    rows = [r("20240102", n, str(i + 1.5)) for i, n in enumerate(series.INTEREST_RATE_ITEMS)]
+    rows.append(r("20240102", "기타금리", "99.0"))  # not listed: filtered out
+    long = to_stat_long(read_statistics(spark, _land(spark, {"rates.json": rows})))
+    name = "rates_" + os.urandom(4).hex()
+    table = jobs.macro_wide_job(long, scratch_path(spark, "raw"), scratch_path(spark, "csv"), name,
+                                scratch_path(spark, "tables"), order=list(series.DEFAULT_ORDER),
+                                items=series.INTEREST_RATE_ITEMS)
+    assert table.columns == ["TIME"] + series.INTEREST_RATE_ITEMS
+    row = table.first()
+    assert row["콜금리(1일, 전체거래)"] == 7.5 and row["회사채(3년, BBB-)"] == 10.5
+    # a rerun of the same day reloads, it does not append
+    again = jobs.macro_wide_job(long, scratch_path(spark, "raw"), scratch_path(spark, "csv"), name,
+                                scratch_path(spark, "tables"), order=list(series.DEFAULT_ORDER),
+                                items=series.INTEREST_RATE_ITEMS)
+    assert again.count() == 1
