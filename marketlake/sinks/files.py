@@ -160,13 +160,16 @@ def upsert_per_key(
     from marketlake.sources.files import path_exists
 
     cols = [f.name for f in schema.fields]
-    if path_exists(spark, path):
+    exists = path_exists(spark, path)
+    if exists:
         stored = spark.read.schema(schema).format(fmt).load(path).select(*cols)
     else:
         stored = spark.createDataFrame([], schema)
     delta = incremental_rows(stored, incoming.select(*cols), key, date)
     touched = delta.select(key).distinct()
-    replacement = cut_lineage(stored.join(touched, key, "left_semi").unionByName(delta))
+    replacement = stored.join(touched, key, "left_semi").unionByName(delta)
+    if exists:  # the write replaces files this plan reads: materialise it first
+        replacement = cut_lineage(replacement)
     if replacement.isEmpty():
         return False
     write_per_key(replacement, path, key, fmt=fmt)
