@@ -99,14 +99,20 @@ def write_partitioned(
 ) -> None:
     """K2: Hive-style ``by=value/`` layout without small-file or hot-value blow-ups.
 
-    Rows are hash-distributed on (partition values, salt) with the salt taken
-    from a hash of the whole row, so each value is written by at most
-    ``files_per_value`` tasks, and a value holding a third of the data is
-    still spread over ``files_per_value`` writers instead of one.
-    ``dynamic=True`` replaces only the partitions present in ``df``.
+    With AQE on, rows are rebalanced on the partition columns: AQE coalesces
+    small shuffle partitions and splits a skewed one (a value holding a third
+    of the data) into advisory-size pieces written by many tasks, so files
+    come out near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    whatever the skew. Without AQE, rows are hash-distributed on (values, a
+    row-hash salt), so each value is written by at most ``files_per_value``
+    tasks. ``dynamic=True`` replaces only the partitions present in ``df``.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_value))
-    out = df.repartition(*[F.col(c) for c in by], salt)
+    aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    if aqe:
+        out = df.hint("rebalance", *by)
+    else:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_value))
+        out = df.repartition(*[F.col(c) for c in by], salt)
     w = out.write.format(fmt).mode(mode).partitionBy(*by)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -121,8 +127,8 @@ def write_per_key(df: DataFrame, path: str, key: str = "code", fmt: str = "csv",
     """One directory per code, replaced as a whole; untouched codes survive.
 
     Dynamic partition overwrite: only the codes present in ``df`` are rewritten.
-    Each code is written by up to ``files_per_key`` tasks, so a code with a
-    large share of the rows is not a single writer. Meant for bounded key sets
+    A code with a large share of the rows is split over several writers (see
+    ``write_partitioned``). Meant for bounded key sets
     (a top-N list); for unbounded keys partition by a coarser column and sort
     by the key inside files instead.
     """
