@@ -29,22 +29,62 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
-DEFAULT_SALT_BUCKETS = 8
+# A per-key side up to this many rows is broadcast (one row per code: ~25 bytes each).
+PER_KEY_BROADCAST_ROWS = 2_000_000
+# Beyond the broadcast bound, a key with more rows than this is split over
+# ceil(rows / TARGET_ROWS_PER_TASK) join tasks.
+TARGET_ROWS_PER_TASK = 5_000_000
 
 
-def salted_join(big: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
-                buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Join a large, possibly skewed frame with a frame of (at most) one row per key.
+def skew_join(big: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
+              target_rows_per_task: int = TARGET_ROWS_PER_TASK) -> DataFrame:
+    """Join a large, possibly skewed frame with a frame of (at most) one row per key,
+    splitting hot keys adaptively.
 
-    The large side gets a deterministic salt (a hash of the whole row, so a
-    retried task routes every row the same way); the per-key side is
-    replicated once per salt value. A key holding a third of the rows is then
-    spread over ``buckets`` join tasks even where AQE cannot split it (AQE
-    only splits joins whose both children are shuffles, not a join that
-    reuses an aggregate's partitioning). ``how``: inner, left, left_semi,
-    left_anti. When the per-key side is small enough AQE still broadcasts it.
+    Rows per key of ``big`` are counted first (a partial aggregate). Keys with
+    more than ``target_rows_per_task`` rows get ``b = ceil(rows / target)``
+    salt values: their rows are spread by a deterministic row hash (a retried
+    task routes every row the same way) and their per-key row is replicated
+    ``b`` times; all other keys join unsalted. The hot-key list has at most
+    ``rows(big) / target_rows_per_task`` entries, which bounds its broadcast.
+    ``how``: inner, left, left_semi, left_anti.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(buckets)).cast("int")
-    left = big.withColumn("__salt", salt)
-    right = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    hot = F.broadcast(counts.where(F.col("__n") > target_rows_per_task).select(
+        key, F.ceil(F.col("__n") / F.lit(target_rows_per_task)).cast("int").alias("__b")))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    left = (
+        big.join(hot, key, "left")
+        .withColumn("__salt", F.when(F.col("__b").isNull(), F.lit(0))
+                    .otherwise(F.pmod(row_hash, F.col("__b").cast("long")).cast("int")))
+        .drop("__b")
+    )
+    right = (
+        per_key.join(hot, key, "left")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__b"), F.lit(1)) - 1)))
+        .drop("__b")
+    )
     return left.join(right, [key, "__salt"], how).drop("__salt")
+
+
+def join_per_key(big: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
+                 broadcast_rows: int = PER_KEY_BROADCAST_ROWS,
+                 target_rows_per_task: int = TARGET_ROWS_PER_TASK) -> DataFrame:
+    """Join a large frame with a per-key frame (last date per code, loaded codes,
+    codes to delete), safe under any key skew.
+
+    The per-key side is computed once — checkpointed to the shared checkpoint
+    directory, so it survives executor loss and, unlike a cache, can never be
+    matched stale by a later plan over a table that has changed — and counted.
+    Within ``broadcast_rows`` it is broadcast:
+    the large side is neither shuffled nor skew-sensitive. Beyond it,
+    ``skew_join`` splits hot keys. (AQE cannot split such a join itself: the
+    per-key side reuses its aggregate's partitioning, and AQE only splits
+    joins whose both children are shuffles.)
+    """
+    from marketlake.session import cut_lineage
+
+    per_key = cut_lineage(per_key)
+    if per_key.count() <= broadcast_rows:
+        return big.join(F.broadcast(per_key), key, how)
+    return skew_join(big, per_key, key, how, target_rows_per_task)

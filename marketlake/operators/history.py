@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.operators.common import bounded_broadcast, salted_join
+from marketlake.operators.common import bounded_broadcast, join_per_key
 
 
 def latest_date(history: DataFrame, key: str = "code", date: str = "date", alias: str = "last_date") -> DataFrame:
@@ -55,11 +55,11 @@ def incremental_rows(
     or whose code has no stored history at all.
 
     Re-running with the same input adds nothing once the result is stored.
-    The join with the per-code last dates is salted, so a hot code's incoming
-    rows are spread over several tasks.
+    The per-code last dates are broadcast when their count is within a bound,
+    otherwise hot codes are split (``join_per_key``).
     """
     last = latest_date(stored, key, date, "__last")
-    j = salted_join(incoming, last, key, "left")
+    j = join_per_key(incoming, last, key, "left")
     return j.where(F.col("__last").isNull() | (F.col(date) > F.col("__last"))).drop("__last")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from marketlake.functions import zfill
-from marketlake.operators.common import salted_join
+from marketlake.operators.common import join_per_key
 from marketlake.operators.conform import conform, typed_history
 from marketlake.operators.history import split_known
 from marketlake.plans.catalog import register
@@ -223,7 +223,7 @@ def manifest_load(spark, sf_dir):
             break
         codes = manifest.select(F.col("code").cast("bigint").alias("code")).distinct()
         present = spark.table(name).select("code").distinct()
-        rows = salted_join(salted_join(history, codes, "code", "left_semi"), present, "code", "left_anti")
+        rows = join_per_key(join_per_key(history, codes, "code", "left_semi"), present, "code", "left_anti")
         if not rows.isEmpty():
             append_rows(rows, name)
         delete_path(spark, mpath)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import int_code, parse_year, strip_quotes
 from marketlake.operators.conform import typed_history
-from marketlake.operators.common import bounded_broadcast, salted_join
+from marketlake.operators.common import bounded_broadcast, join_per_key
 from marketlake.operators.history import attach, incremental_rows, retention_split, split_known
 from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_k_codes, rank_top, zip_lists
 from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_first_wins
@@ -126,7 +126,7 @@ def manifest_load_job(spark: SparkSession, manifest_path: str, history_csv_dir:
     landed = drop_row_index(read_csv(spark, history_csv_dir))
     typed = typed_history(landed)
     present = spark.table(table).select("code").distinct()
-    rows = salted_join(salted_join(typed, manifest.distinct(), "code", "left_semi"), present, "code", "left_anti")
+    rows = join_per_key(join_per_key(typed, manifest.distinct(), "code", "left_semi"), present, "code", "left_anti")
     if not rows.isEmpty():
         append_rows(rows, table)
     delete_path(spark, manifest_path)
@@ -161,7 +161,7 @@ def manifest_jdbc_load_job(
         .option("pushDownAggregate", "true").options(**properties).load()
         .select("code").distinct()
     )
-    rows = salted_join(salted_join(typed, manifest.distinct(), "code", "left_semi"), present, "code", "left_anti")
+    rows = join_per_key(join_per_key(typed, manifest.distinct(), "code", "left_semi"), present, "code", "left_anti")
     if not rows.isEmpty():  # F5
         write_jdbc(rows, url, table, mode="append", properties=properties)
     if delete_manifest:

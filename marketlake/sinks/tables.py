@@ -123,11 +123,11 @@ def with_run_date(df: DataFrame, as_of, col: str = "date") -> DataFrame:
 def delete_keys(name: str, keys: DataFrame, root: str, key: str = "code", spark: SparkSession | None = None) -> DataFrame:
     """Remove every row whose ``key`` is in ``keys`` by publishing the survivors
     as a new version (plain Parquet has no DELETE)."""
-    from marketlake.operators.common import salted_join
+    from marketlake.operators.common import join_per_key
 
     spark = spark or keys.sparkSession
     current = spark.table(name)
-    survivors = salted_join(current, keys.select(key).distinct(), key, "left_anti")
+    survivors = join_per_key(current, keys.select(key).distinct(), key, "left_anti")
     return replace_table(survivors, name, root)
 
 

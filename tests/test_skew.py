@@ -86,7 +86,21 @@ def test_pivot_and_sum_with_hot_index(skewed, pdf, capsys):
     assert sums["hot"] == float(pdf[pdf.code == HOT].price.sum())
 
 
-def test_increment_join_is_salted(skewed, capsys):
+def test_per_key_join_broadcasts_within_bound(skewed, capsys):
     text = _plan(incremental_rows(skewed.where(F.col("date") < F.lit("2020-06-01").cast("date")), skewed), capsys)
-    join_lines = [ln for ln in text.splitlines() if "Join" in ln]
-    assert join_lines and all("__salt" in ln for ln in join_lines)
+    assert "BroadcastHashJoin" in text and "__salt" not in text
+
+
+def test_skew_join_splits_only_hot_keys(skewed, spark, pdf, capsys):
+    from marketlake.operators.common import join_per_key, skew_join
+
+    last = latest_date(skewed.where(F.col("date") < F.lit("2020-06-01").cast("date")), "code", "date", "__last")
+    plain = sorted(map(tuple, skewed.join(last, "code", "left").collect()))
+    # force the beyond-broadcast path; with 1,000 rows per task the hot code gets ceil(12000 / 1000) salts
+    forced = join_per_key(skewed, last, "code", "left", broadcast_rows=0, target_rows_per_task=1_000)
+    assert sorted(map(tuple, forced.collect())) == plain
+    assert "__salt" in _plan(forced, capsys)
+    for how in ("left_semi", "left_anti", "inner"):
+        a = sorted(map(tuple, skew_join(skewed, last, "code", how, 1_000).collect()))
+        b = sorted(map(tuple, skewed.join(last, "code", how).collect()))
+        assert a == b, how
