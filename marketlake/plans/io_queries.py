@@ -223,7 +223,8 @@ def manifest_load(spark, sf_dir):
             break
         codes = manifest.select(F.col("code").cast("bigint").alias("code")).distinct()
         present = spark.table(name).select("code").distinct()
-        rows = join_per_key(join_per_key(history, codes, "code", "left_semi"), present, "code", "left_anti")
+        wanted = codes.join(present, "code", "left_anti")  # listed and not loaded yet
+        rows = join_per_key(history, wanted, "code", "left_semi")
         if not rows.isEmpty():
             append_rows(rows, name)
         delete_path(spark, mpath)

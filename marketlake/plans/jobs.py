@@ -126,7 +126,8 @@ def manifest_load_job(spark: SparkSession, manifest_path: str, history_csv_dir:
     landed = drop_row_index(read_csv(spark, history_csv_dir))
     typed = typed_history(landed)
     present = spark.table(table).select("code").distinct()
-    rows = join_per_key(join_per_key(typed, manifest.distinct(), "code", "left_semi"), present, "code", "left_anti")
+    wanted = manifest.distinct().join(present, "code", "left_anti")  # listed and not loaded yet
+    rows = join_per_key(typed, wanted, "code", "left_semi")
     if not rows.isEmpty():
         append_rows(rows, table)
     delete_path(spark, manifest_path)
@@ -161,7 +162,8 @@ def manifest_jdbc_load_job(
         .option("pushDownAggregate", "true").options(**properties).load()
         .select("code").distinct()
     )
-    rows = join_per_key(join_per_key(typed, manifest.distinct(), "code", "left_semi"), present, "code", "left_anti")
+    wanted = manifest.distinct().join(present, "code", "left_anti")  # listed and not loaded yet
+    rows = join_per_key(typed, wanted, "code", "left_semi")
     if not rows.isEmpty():  # F5
         write_jdbc(rows, url, table, mode="append", properties=properties)
     if delete_manifest:
