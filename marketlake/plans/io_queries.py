@@ -331,4 +331,6 @@ def table_copy(spark, sf_dir):
     reload_jdbc(staged, url, "APP.CUSTOMER_COPY", props)
     bounds = c.agg(F.min("c_custkey"), F.max("c_custkey")).first()
     back = read_jdbc(spark, url, "APP.CUSTOMER_COPY", props, "c_custkey", int(bounds[0]), int(bounds[1]) + 1, 4)
-    return back.select(*[F.col(f.name.upper()).cast(f.dataType).alias(f.name) for f in c.schema.fields])
+    actual = {col.lower(): col for col in back.columns}  # whatever case the database reports
+    return back.select(*[F.col(f"`{actual[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+                         for f in c.schema.fields])

@@ -1,11 +1,13 @@
 """Run catalogue queries in Spark and their oracle SQL in DuckDB; compare results.
 
 Usage: python tests/oracle_harness.py [sf_dir] [query ...]
+       ORACLE_EXTRA_CONF='{"spark.sql.session.timeZone": "Asia/Seoul"}' python tests/oracle_harness.py
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import math
 import os
 import sys
@@ -110,7 +112,9 @@ def main(argv):
     from marketlake.session import build_session
     import __spark_entry__ as entry
 
-    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
+    extra = {"spark.ui.showConsoleProgress": "false"}
+    extra.update(json.loads(os.environ.get("ORACLE_EXTRA_CONF", "{}")))  # e.g. another time zone
+    spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck_connect(sf_dir)

@@ -187,3 +187,15 @@ def test_list_jdbc_tables_and_staged_replication(spark, scratch, top):
     names = sorted(r.TABLENAME for r in list_jdbc_tables(spark, url, "APP", props, derby_catalog).collect())
     assert names == ["TOP_A", "TOP_B"]
     assert read_jdbc(spark, url, "APP.TOP_A", props).count() == 2
+
+
+def test_partitioned_write_without_aqe_uses_salted_writers(spark, scratch):
+    df = spark.range(0, 5000).select(F.when(F.col("id") < 4000, "hot").otherwise("cold").alias("seg"), "id")
+    p = scratch("part_noaqe")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_partitioned(df, p, ["seg"], files_per_value=3)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 1 <= len(glob.glob(_local(p) + "/seg=hot/*.parquet")) <= 3
+    assert spark.read.parquet(p).count() == 5000
