@@ -24,11 +24,6 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def is_empty(df: DataFrame) -> bool:
-    """Empty-input guard: reads at most one row (not a full ``count``)."""
-    return df.isEmpty()
-
-
 # A per-key side up to this many rows is broadcast (one row per code: ~25 bytes each).
 PER_KEY_BROADCAST_ROWS = 2_000_000
 # Beyond the broadcast bound, a key with more rows than this is split over

@@ -19,6 +19,7 @@ from marketlake.plans.catalog import register
 from marketlake.plans.ranking_queries import RANK_SQL, ranked_companies
 from marketlake.plans.standins import CUTOFF, companies, price_history
 from marketlake.session import read_table
+from marketlake.sources.warehouse import distinct_projection
 
 HISTORY_SQL = """SELECT o_custkey AS code, CAST(o_orderdate AS DATE) AS date, o_totalprice AS price,
   o_orderkey AS row_key, o_orderstatus AS status FROM orders"""
@@ -155,7 +156,7 @@ def topk_history(spark, sf_dir):
 )
 def distinct_pairs(spark, sf_dir):
     """S7 + A6: distinct (brand, type) pairs (map-side de-dup, then shuffle)."""
-    return read_table(spark, sf_dir, "part").select("p_brand", "p_type").distinct()
+    return distinct_projection(read_table(spark, sf_dir, "part"), ["p_brand", "p_type"])
 
 
 VOLATILITY_SQL = """WITH d AS (

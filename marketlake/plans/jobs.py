@@ -22,7 +22,7 @@ from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first
 from marketlake.operators.volatility import DEFAULT_THRESHOLD_PCT, daily_first_price, high_volatility
 from marketlake.sinks.files import write_csv, write_manifest, write_parquet
 from marketlake.sinks.jdbc import replicate_tables, write_jdbc
-from marketlake.sinks.tables import append_rows, replace_table, table_exists, truncate_reload
+from marketlake.sinks.tables import append_rows, replace_table, truncate_reload
 from marketlake.sources.files import delete_path, drop_row_index, read_csv, read_manifest
 from marketlake.sources.warehouse import list_tables
 
@@ -232,10 +232,3 @@ def replicate_schema_job(spark: SparkSession, database: str, url: str, propertie
     names = [r["tablename"] for r in list_tables(spark, database).collect()]  # catalog metadata
     sources = {n: spark.table(f"`{database}`.`{n}`") for n in names}
     return replicate_tables(sources, url, properties, target_prefix, max_parallel, staging_dir)
-
-
-def ensure_table(spark: SparkSession, name: str, df: DataFrame, root: str) -> DataFrame:
-    """Publish ``df`` as ``name`` unless the table exists already."""
-    if table_exists(spark, name):
-        return spark.table(name)
-    return replace_table(df, name, root)
