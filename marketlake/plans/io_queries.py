@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from marketlake.functions import zfill
-from marketlake.operators.common import join_per_key
 from marketlake.operators.conform import conform, typed_history
 from marketlake.operators.history import split_known
 from marketlake.plans.catalog import register
+from marketlake.plans.jobs import load_listed_codes
 from marketlake.plans.ranking_queries import RANK_SQL, ranked_companies
 from marketlake.plans.standins import CUTOFF, companies, price_history
 from marketlake.schemas import AVRO_HISTORY
@@ -31,7 +31,7 @@ from marketlake.sinks.tables import (
     truncate_reload,
     with_run_date,
 )
-from marketlake.sources.files import delete_path, drop_row_index, existing_keys, read_csv, read_manifest
+from marketlake.sources.files import drop_row_index, existing_keys, read_csv
 from marketlake.sources.warehouse import list_tables, read_jdbc, table_row_counts
 
 DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -217,17 +217,10 @@ def manifest_load(spark, sf_dir):
     schema = StructType.fromDDL(HISTORY_SCHEMA)
     create_if_absent(spark, name, schema, root)
     history = price_history(spark, sf_dir).select(*HISTORY_COLS)
-    for _ in range(2):  # the second pass finds no manifest
-        manifest = read_manifest(spark, mpath)
-        if manifest is None:
-            break
-        codes = manifest.select(F.col("code").cast("bigint").alias("code")).distinct()
-        present = spark.table(name).select("code").distinct()
-        wanted = codes.join(present, "code", "left_anti")  # listed and not loaded yet
-        rows = join_per_key(history, wanted, "code", "left_semi")
-        if not rows.isEmpty():
-            append_rows(rows, name)
-        delete_path(spark, mpath)
+    load_listed_codes(spark, mpath, history, name, delete_manifest=False)  # "crash" before the delete
+    load_listed_codes(spark, mpath, history, name)  # rerun: nothing twice, manifest deleted
+    if load_listed_codes(spark, mpath, history, name):  # no manifest: nothing to do
+        raise RuntimeError("manifest still present after a completed load")
     return spark.table(name)
 
 

@@ -116,21 +116,33 @@ def top_listing(companies: DataFrame, n: int = 100) -> DataFrame:
     return rank_top(companies, n, "metric", "code").select("code", "name")
 
 
-def manifest_load_job(spark: SparkSession, manifest_path: str, history_csv_dir: str, table: str) -> DataFrame:
-    """Load the landed all-text history of the codes in the manifest (S10 -> S3 ->
-    F5 -> P5 -> append), then delete the manifest after the commit. Codes already
-    in the table are skipped, so a rerun after a crash adds nothing twice."""
-    manifest = read_manifest(spark, manifest_path)
+def load_listed_codes(spark: SparkSession, manifest_path: str, history: DataFrame, table: str,
+                      key: str = "code", delete_manifest: bool = True) -> bool:
+    """S10 core: append to ``table`` the ``history`` rows of the codes listed in
+    the manifest that the table does not hold yet, then delete the manifest
+    (after the commit). A rerun after a crash between the two adds nothing
+    twice; without a manifest there is nothing to do. Returns whether a
+    manifest was found.
+    """
+    manifest = read_manifest(spark, manifest_path, key)
     if manifest is None:
-        return spark.table(table)
-    landed = drop_row_index(read_csv(spark, history_csv_dir))
-    typed = typed_history(landed)
-    present = spark.table(table).select("code").distinct()
-    wanted = manifest.distinct().join(present, "code", "left_anti")  # listed and not loaded yet
-    rows = join_per_key(typed, wanted, "code", "left_semi")
-    if not rows.isEmpty():
+        return False
+    codes = manifest.select(F.col(key).cast(history.schema[key].dataType).alias(key)).distinct()
+    present = spark.table(table).select(key).distinct()
+    wanted = codes.join(present, key, "left_anti")  # listed and not loaded yet
+    rows = join_per_key(history, wanted, key, "left_semi")
+    if not rows.isEmpty():  # F5
         append_rows(rows, table)
-    delete_path(spark, manifest_path)
+    if delete_manifest:
+        delete_path(spark, manifest_path)
+    return True
+
+
+def manifest_load_job(spark: SparkSession, manifest_path: str, history_csv_dir: str, table: str) -> DataFrame:
+    """The landed all-text history (S3) typed (P5), loaded for the manifest's
+    codes only (S10, F5, append)."""
+    typed = typed_history(drop_row_index(read_csv(spark, history_csv_dir)))
+    load_listed_codes(spark, manifest_path, typed, table)
     return spark.table(table)
 
 
