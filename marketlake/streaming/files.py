@@ -20,13 +20,24 @@ from marketlake.sinks.tables import append_rows
 
 
 def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None, **options) -> DataFrame:
-    """Streaming scan of every file under ``source_dir`` (any depth) with an explicit schema."""
+                max_files_per_trigger: int | None = None, clean_source: str | None = None,
+                archive_dir: str | None = None, **options) -> DataFrame:
+    """Streaming scan of every file under ``source_dir`` (any depth) with an explicit schema.
+
+    ``max_files_per_trigger`` bounds each micro-batch (a backlog is worked off
+    in several batches). ``clean_source="archive"`` (with ``archive_dir``) or
+    ``"delete"`` moves processed files out of the landing directory, so its
+    listing stays small however long the job runs.
+    """
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
     if fmt == "csv":
         reader = reader.option("header", True).options(**CSV_READ_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load(source_dir)
@@ -41,6 +52,7 @@ def ingest_new_files(
     fmt: str = "parquet",
     sink_fmt: str = "parquet",
     partition_by: Sequence[str] | None = None,
+    **source_options,
 ) -> None:
     """Copy every not-yet-seen file of ``source_dir`` into ``sink_dir``, once.
 
@@ -48,7 +60,7 @@ def ingest_new_files(
     a failure neither loses nor duplicates a file's rows.
     """
     w = (
-        file_stream(spark, source_dir, schema, fmt)
+        file_stream(spark, source_dir, schema, fmt, **source_options)
         .writeStream.format(sink_fmt)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
@@ -85,6 +97,7 @@ def upsert_new_files(
     key: str = "code",
     date: str = "date",
     fmt: str = "parquet",
+    **source_options,
 ) -> None:
     """Each micro-batch appends only rows newer than the stored last date of
     their code (or of an unknown code) to catalog table ``table``.
@@ -98,7 +111,7 @@ def upsert_new_files(
         upsert_batch(batch, table, key, date)
 
     q = (
-        file_stream(spark, source_dir, schema, fmt)
+        file_stream(spark, source_dir, schema, fmt, **source_options)
         .writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)

@@ -43,3 +43,19 @@ def test_new_files_once_and_upsert_run_twice(spark, scratch):
     upsert_new_files(spark, src, SCHEMA, name, scratch("ckpt"))
     upsert_new_files(spark, src, SCHEMA, name, scratch("ckpt"))  # fresh checkpoint = full replay
     assert sorted(r.row_key for r in spark.table(name).collect()) == [1, 2]
+
+
+def test_bounded_batches_and_archived_sources(spark, scratch):
+    import glob
+
+    src, sink, ckpt, archive = scratch("landing"), scratch("sink"), scratch("ckpt"), scratch("archive")
+    for i in range(3):
+        write_parquet(spark.createDataFrame([("A", dt.date(2024, 1, 2 + i), 1.0, i)], SCHEMA), f"{src}/drop-{i}")
+    ingest_new_files(spark, src, SCHEMA, sink, ckpt, max_files_per_trigger=1, clean_source="archive",
+                     archive_dir=archive)
+    assert spark.read.parquet(sink).count() == 3
+    ingest_new_files(spark, src, SCHEMA, sink, ckpt, max_files_per_trigger=1, clean_source="archive",
+                     archive_dir=archive)  # a later run sees nothing new
+    assert spark.read.parquet(sink).count() == 3
+    local = archive[len("file:"):] if archive.startswith("file:") else archive
+    assert len(glob.glob(local + "/**/*.parquet", recursive=True)) >= 1  # processed files moved out
