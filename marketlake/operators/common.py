@@ -62,24 +62,40 @@ def skew_join(big: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
     return left.join(right, [key, "__salt"], how).drop("__salt")
 
 
-def join_per_key(big: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
-                 broadcast_rows: int = PER_KEY_BROADCAST_ROWS,
-                 target_rows_per_task: int = TARGET_ROWS_PER_TASK) -> DataFrame:
-    """Join a large frame with a per-key frame (last date per code, loaded codes,
-    codes to delete), safe under any key skew.
-
-    The per-key side is computed once — checkpointed to the shared checkpoint
-    directory, so it survives executor loss and, unlike a cache, can never be
-    matched stale by a later plan over a table that has changed — and counted.
-    Within ``broadcast_rows`` it is broadcast:
-    the large side is neither shuffled nor skew-sensitive. Beyond it,
-    ``skew_join`` splits hot keys. (AQE cannot split such a join itself: the
-    per-key side reuses its aggregate's partitioning, and AQE only splits
-    joins whose both children are shuffles.)
+def materialize_per_key(per_key: DataFrame) -> tuple[DataFrame, int]:
+    """Compute a per-key frame once and count it.
+
+    Checkpointed to the shared checkpoint directory: it survives executor
+    loss and, unlike a cache, can never be matched stale by a later plan over
+    a table that has changed since.
     """
     from marketlake.session import cut_lineage
 
-    per_key = cut_lineage(per_key)
-    if per_key.count() <= broadcast_rows:
+    m = cut_lineage(per_key)
+    return m, m.count()
+
+
+def join_materialized(big: DataFrame, per_key: DataFrame, rows: int, key: str, how: str = "inner",
+                      broadcast_rows: int = PER_KEY_BROADCAST_ROWS,
+                      target_rows_per_task: int = TARGET_ROWS_PER_TASK) -> DataFrame:
+    """``join_per_key`` for a per-key frame already materialised with ``rows`` rows."""
+    if rows <= broadcast_rows:
         return big.join(F.broadcast(per_key), key, how)
     return skew_join(big, per_key, key, how, target_rows_per_task)
+
+
+def join_per_key(big: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
+                 broadcast_rows: int = PER_KEY_BROADCAST_ROWS,
+                 target_rows_per_task: int = TARGET_ROWS_PER_TASK) -> DataFrame:
+    """Join a large frame with a per-key frame (last date per code, loaded codes,
+    codes to keep or delete), safe under any key skew.
+
+    The per-key side is computed once and counted (``materialize_per_key``).
+    Within ``broadcast_rows`` it is broadcast: the large side is neither
+    shuffled nor skew-sensitive. Beyond it, ``skew_join`` splits hot keys.
+    (AQE cannot split such a join itself: the per-key side reuses its
+    aggregate's partitioning, and AQE only splits joins whose both children
+    are shuffles.)
+    """
+    m, rows = materialize_per_key(per_key)
+    return join_materialized(big, m, rows, key, how, broadcast_rows, target_rows_per_task)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.operators.common import bounded_broadcast, join_per_key
+from marketlake.operators.common import bounded_broadcast, join_materialized, join_per_key, materialize_per_key
 
 
 def latest_date(history: DataFrame, key: str = "code", date: str = "date", alias: str = "last_date") -> DataFrame:
@@ -72,10 +72,10 @@ def append_incremental(stored: DataFrame, incoming: DataFrame, key: str = "code"
 def since(history: DataFrame, codes: DataFrame, start, key: str = "code", date: str = "date") -> DataFrame:
     """Rows of the listed codes with ``date >= start`` (the price lookup).
 
-    ``codes`` must be bounded (a top-N list) and is broadcast.
+    The code list is broadcast after a size check (``join_per_key``).
     """
     h = history.where(F.col(date) >= F.lit(start).cast("date"))
-    return h.join(bounded_broadcast(codes.select(key).distinct()), key, "left_semi")
+    return join_per_key(h, codes.select(key).distinct(), key, "left_semi")
 
 
 def attach(history: DataFrame, attrs: DataFrame, key: str = "code", cols: Sequence[str] = ("name",),
@@ -93,6 +93,11 @@ def attach(history: DataFrame, attrs: DataFrame, key: str = "code", cols: Sequen
 
 
 def retention_split(history: DataFrame, keep_codes: DataFrame, key: str = "code") -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped) history rows by membership of ``key`` in a bounded keep list."""
-    keys = bounded_broadcast(keep_codes.select(key).distinct())
-    return history.join(keys, key, "left_semi"), history.join(keys, key, "left_anti")
+    """(kept, dropped) history rows by membership of ``key`` in the keep list.
+
+    The keep list is materialised and counted once, then broadcast for both
+    joins (or, beyond the bound, joined with hot keys split).
+    """
+    keys, rows = materialize_per_key(keep_codes.select(key).distinct())
+    return (join_materialized(history, keys, rows, key, "left_semi"),
+            join_materialized(history, keys, rows, key, "left_anti"))
