@@ -18,10 +18,11 @@ def qs():
     return entry.queries()
 
 
-def test_no_python_udf_anywhere(spark, qs, capsys):
+def test_no_python_udf_or_cross_join_anywhere(spark, qs, capsys):
     for name, fn in qs.items():
         text = plan(fn(spark, SF_SMALL), capsys)
-        for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
+        for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
+                       "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert marker not in text, f"{name} uses {marker}"
 
 
