@@ -6,7 +6,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from marketlake.functions import json_field, parse_year, stat_time
+from marketlake.functions import json_field, map_lookup, parse_year, stat_time
 from marketlake.operators.common import broadcast_if_bounded
 from marketlake.operators.reshape import (
     filter_in,
@@ -19,6 +19,7 @@ from marketlake.operators.reshape import (
     union_dedup,
     union_first_wins,
 )
+from marketlake.plans import series
 from marketlake.plans.catalog import register
 from marketlake.plans.standins import (
     CUTOFF,
@@ -268,3 +269,61 @@ def parse_year_q(spark, sf_dir):
     """Year text -> DATE (1 January)."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", stat_time("o_orderdate", "A").alias("year_text"))
     return o.withColumn("Date", parse_year("year_text"))
+
+
+# ----------------------------------------------------------------- published series presets
+
+# Fixed values of the stand-in: event type -> published item name.
+RATE_ITEMS = {
+    "click": "원/달러(종가 15:30)",
+    "error": "원/엔(기타)",
+    "purchase": "원/위안(종가)",
+    "signup": "원/유로(매매기준율)",
+    "view": "원/100엔(하나은행고시)",
+}
+INTEREST_ITEMS = {
+    "click": "KOFR(공시 RFR)",
+    "error": "국고채(10년)",
+    "purchase": "콜금리(1일, 전체거래)",
+    "signup": "회사채(3년, AA-)",
+    "view": "기타금리",
+}
+
+
+def _item_long(spark, sf_dir, mapping, with_missing=False):
+    long = stat_long(spark, sf_dir, with_missing)
+    return long.withColumn("ITEM_NAME1", map_lookup("ITEM_NAME1", mapping))
+
+
+def _item_case_sql(mapping) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"(CASE event_type {whens} END)"
+
+
+def _series_sql(mapping, columns, value_sql, where="ts IS NOT NULL"):
+    key = _item_case_sql(mapping)
+    cols = ",\n  ".join(
+        f"arg_min({value_sql}, event_id) FILTER (WHERE {key} = '{item}') AS \"{out}\"" for item, out in columns)
+    return (f"SELECT {DAY_SQL} AS \"TIME\",\n  {cols}\nFROM events\n"
+            f"WHERE ({value_sql}) IS NOT NULL AND {key} IS NOT NULL AND {where}\nGROUP BY 1")
+
+
+@register(
+    "series_exchange_rate",
+    _series_sql(RATE_ITEMS, list(series.EXCHANGE_RATE_COLUMNS.items()), "value"),
+)
+def series_exchange_rate(spark, sf_dir):
+    """Exchange-rate preset: three of the published rates, first by input order, renamed."""
+    return series.exchange_rate(_item_long(spark, sf_dir, RATE_ITEMS), order=["event_id"])
+
+
+@register(
+    "series_interest_rates",
+    _series_sql(INTEREST_ITEMS, [(i, i) for i in series.INTEREST_RATE_ITEMS], MISSING_VALUE_SQL,
+                "ts IS NOT NULL AND " + _item_case_sql(INTEREST_ITEMS) + " IN ("
+                + ", ".join(f"'{i}'" for i in series.INTEREST_RATE_ITEMS) + ")"),
+)
+def series_interest_rates(spark, sf_dir):
+    """Interest-rate preset: the ten listed items only, fixed columns (items the
+    source lacks are all-NULL columns), missing values never win "first"."""
+    return series.interest_rates(_item_long(spark, sf_dir, INTEREST_ITEMS, with_missing=True), order=["event_id"])
