@@ -135,7 +135,8 @@ def vacuum_versions(spark: SparkSession, name: str, root: str, keep_previous: in
     """Delete old version directories of ``name``.
 
     Keeps the current version and the ``keep_previous`` newest older ones
-    (readers that planned against them may still be scanning). Only directory
+    (readers that planned against them may still be scanning); versions newer
+    than the current one (unpublished loads) are never touched. Only directory
     names are listed on the driver. Returns the deleted paths.
     """
     from marketlake.sources.files import delete_path
@@ -147,12 +148,18 @@ def vacuum_versions(spark: SparkSession, name: str, root: str, keep_previous: in
     fs = base_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(base_path):
         return []
+    def stamp(p: str) -> int:
+        return int(p.rstrip("/").rsplit("/v-", 1)[1].split("-")[0])
+
     versions = sorted(
         (st.getPath().toString() for st in fs.listStatus(base_path)
          if st.isDirectory() and st.getPath().getName().startswith("v-")),
-        key=lambda p: int(p.rsplit("/v-", 1)[1].split("-")[0]),
+        key=stamp,
     )
-    older = [v for v in versions if v.rstrip("/") != current and not current.endswith(v.split(":", 1)[-1])]
+    now = stamp(current)
+    # Only versions older than the current one; a newer one is a load that has
+    # not been published (yet, or ever) and is left alone.
+    older = [v for v in versions if stamp(v) < now]
     doomed = older[:-keep_previous] if keep_previous > 0 else older
     for v in doomed:
         delete_path(spark, v)
