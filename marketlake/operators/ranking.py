@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions import map_lookup
-from marketlake.operators.common import bounded_broadcast
+from marketlake.operators.common import join_materialized, materialize_per_key
 
 # Exchange name -> published exchange code; anything else is 'baddata'.
 EXCHANGE_CODES = {
@@ -93,14 +93,14 @@ def attach_exchange(
     default: str = UNKNOWN_EXCHANGE,
     out_col: str = "excode",
 ) -> DataFrame:
-    """Left join a (bounded) listing with symbol metadata, then map the exchange.
+    """Left join a listing with symbol metadata, then map the exchange.
 
     A symbol absent from the metadata and an exchange outside the map both
-    give ``default``. ``listing`` must be bounded (a top-N); the metadata is
-    first reduced to the listed symbols with a broadcast semi-join, so the
-    large side is scanned once and never shuffled.
+    give ``default``. The metadata is first reduced to the listed symbols with
+    a semi-join against the listed codes, broadcast after a size check
+    (``join_materialized``), so the large side is scanned once, not shuffled.
     """
-    wanted = bounded_broadcast(listing.select(key).distinct())
-    meta = metadata.select(key, exchange_col).join(wanted, key, "left_semi")
+    codes, rows = materialize_per_key(listing.select(key).distinct())
+    meta = join_materialized(metadata.select(key, exchange_col), codes, rows, key, "left_semi")
     meta = meta.groupBy(key).agg(F.min(exchange_col).alias(exchange_col))  # one row per symbol
     return listing.join(meta, key, "left").withColumn(out_col, exchange_code(exchange_col, mapping, default))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import int_code, parse_year, strip_quotes
 from marketlake.operators.conform import typed_history
-from marketlake.operators.common import bounded_broadcast, join_per_key
+from marketlake.operators.common import join_materialized, join_per_key, materialize_per_key
 from marketlake.operators.history import attach, incremental_rows, retention_split, split_known
 from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_k_codes, rank_top, zip_lists
 from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_first_wins
@@ -91,17 +91,19 @@ def history_refresh_job(
     ``start`` bounds the backfill), attach the name (J6), append (U3/K15) and
     list the new codes in a manifest (K14).
 
-    ``prices``: code, date, price, row_key. ``listing`` must be bounded (it is
-    broadcast). Rerunning with the same inputs appends nothing.
+    ``prices``: code, date, price, row_key. Rerunning with the same inputs
+    appends nothing.
     """
     spark = listing.sparkSession
-    top = listing.select("code", "name").distinct()
-    # Only the listed codes' stored rows matter (for the split and their last
-    # dates): one broadcast semi-join prunes the history scan to them.
-    stored_top = spark.table(history_table).select("code", "date").join(
-        bounded_broadcast(top.select("code")), "code", "left_semi")
+    # The listing is materialised and counted once; both joins below broadcast
+    # it after that size check (or split hot codes beyond the bound).
+    top, rows = materialize_per_key(listing.select("code", "name").distinct())
+    codes = top.select("code")
+    # Only the listed codes' stored rows matter (for the split and their last dates).
+    stored_top = join_materialized(spark.table(history_table).select("code", "date"), codes, rows, "code",
+                                   "left_semi")
     _, new = split_known(top, stored_top)
-    candidates = attach(prices, top, "code", ["name"], bounded=True)
+    candidates = join_materialized(prices, top, rows, "code", "inner")
     if start is not None:
         candidates = candidates.where(F.col("date") >= F.lit(start).cast("date"))
     rows = incremental_rows(stored_top, candidates)
