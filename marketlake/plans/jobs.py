@@ -199,9 +199,15 @@ def rank_publish_job(
     metadata + map, 'baddata' otherwise (J4) -> ranking = position (W1) -> CSV
     (K1) -> transactional replace (K8; an empty or failed result keeps the old table)."""
     rows = zip_lists(page, names_col, codes_col, ("name", "code"), "pos")
+    return rank_publish_rows(rows, metadata, csv_path, table, root, mapping)
+
+
+def rank_publish_rows(rows: DataFrame, metadata: DataFrame, csv_path: str, table: str, root: str,
+                      mapping: Mapping[str, str] = EXCHANGE_CODES, pos_col: str = "pos") -> DataFrame:
+    """E5 from a listing that already has one row per company (pos, name, code)."""
     rows = rows.withColumn("name", strip_quotes("name"))
     rows = attach_exchange(rows, metadata, "code", "exchange", mapping)
-    ranked = rows.select(F.col("pos").cast("int").alias("ranking"), "name", "code", "excode")
+    ranked = rows.select(F.col(pos_col).cast("int").alias("ranking"), "name", "code", "excode")
     write_csv(ranked, csv_path, sort_by=["ranking"])
     return replace_table(ranked, table, root, verify=lambda staged: not staged.isEmpty())
 

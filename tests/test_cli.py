@@ -1,0 +1,38 @@
+"""The job entry point runs a series job end to end in its own process."""
+
+import json
+import os
+import subprocess
+import sys
+import tempfile
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_cli_parser_covers_every_job():
+    sys.path.insert(0, ROOT)
+    from marketlake.__main__ import parser
+
+    jobs = set(parser()._subparsers._group_actions[0].choices)
+    assert jobs == {"series", "rank-publish", "history-refresh", "manifest-load", "volatility", "retention",
+                    "replicate"}
+
+
+def test_cli_series_job_in_a_fresh_process():
+    work = tempfile.mkdtemp(prefix="marketlake-cli-")  # local test run only
+    land = os.path.join(work, "landing")
+    os.makedirs(land)
+    rows = [{"TIME": "20240102", "ITEM_NAME1": "원/달러(종가 15:30)", "DATA_VALUE": "1300.5"}]
+    with open(os.path.join(land, "r.json"), "w", encoding="utf-8") as f:
+        json.dump({"StatisticSearch": {"row": rows}}, f, ensure_ascii=False)
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from marketlake.__main__ import main\n"
+        "from pyspark.sql import SparkSession\n"
+        "main(['series', 'exchange_rate', '--landing', %r, '--table', 'fx', '--root', %r,"
+        " '--raw', %r, '--processed', %r])\n"
+        "print('ROWS', SparkSession.getActiveSession().table('fx').collect())\n"
+    ) % (ROOT, land, os.path.join(work, "tables"), os.path.join(work, "raw"), os.path.join(work, "processed"))
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] pyspark-shell")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, env=env)
+    assert "ROWS" in out.stdout and "1300.5" in out.stdout, out.stdout[-1500:] + out.stderr[-2500:]
