@@ -190,8 +190,8 @@ WHERE h.code IN (SELECT code FROM top) AND (last.last_date IS NULL OR h.date > l
 )
 def per_key_upsert(spark, sf_dir):
     """One directory per code (the top-100 only); the stored history is
-    laid down, then the incoming rows are upserted twice (the rerun writes
-    nothing). Only code directories with newer rows are rewritten."""
+    laid down, then the incoming rows are upserted twice (the rerun adds
+    nothing): only rows newer than each code's last stored day are appended."""
     from pyspark.sql.types import StructType
 
     from marketlake.session import scratch_path

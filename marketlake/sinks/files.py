@@ -151,15 +151,19 @@ def upsert_per_key(
     key: str = "code",
     date: str = "date",
     fmt: str = "parquet",
-) -> bool:
+    rewrite: bool = False,
+) -> None:
     """K15 + U3: add incoming rows that are newer than each code's stored last
-    day, rewriting only the code directories that receive rows.
-
-    The replacement (stored rows of the touched codes + their new rows) is
-    checkpointed to the shared checkpoint directory before the dynamic
-    overwrite, so the write never depends on files it is replacing. Re-running
-    after a failure recomputes the same (or an empty) increment. Returns
-    whether anything was written.
+    day to the per-code layout under ``path``.
+
+    Default: the new rows are appended as new files under each code's
+    directory. Nothing stored is re-read or rewritten, the job commit makes
+    the append all-or-nothing, and a rerun recomputes an empty increment.
+    ``rewrite=True`` keeps one set of files per code instead (the
+    replace-the-object behaviour): the touched codes' stored rows plus their
+    new rows are checkpointed to the shared checkpoint directory, then those
+    code directories alone are overwritten. ``compact_per_key`` does the same
+    later for codes that accumulated many appended files.
     """
     from marketlake.operators.history import incremental_rows
     from marketlake.session import cut_lineage
@@ -172,14 +176,39 @@ def upsert_per_key(
     else:
         stored = spark.createDataFrame([], schema)
     delta = incremental_rows(stored, incoming.select(*cols), key, date)
+    if not rewrite:
+        write_partitioned(delta, path, [key], fmt=fmt, mode="append")
+        return
     touched = delta.select(key).distinct()
     replacement = stored.join(touched, key, "left_semi").unionByName(delta)
     if exists:  # the write replaces files this plan reads: materialise it first
         replacement = cut_lineage(replacement)
-    if replacement.isEmpty():
-        return False
-    write_per_key(replacement, path, key, fmt=fmt)
-    return True
+    if not replacement.isEmpty():
+        write_per_key(replacement, path, key, fmt=fmt)
+
+
+def compact_per_key(spark: SparkSession, path: str, schema, key: str = "code", fmt: str = "parquet",
+                    min_files: int = 8) -> list[str]:
+    """Rewrite the directories of codes that hold at least ``min_files`` files
+    into a few files each. Only file names are listed on the driver; the rows
+    are checkpointed before their directories are overwritten. Returns the
+    compacted codes."""
+    from marketlake.session import cut_lineage
+    from marketlake.sources.files import list_objects
+
+    suffix = {"parquet": ".parquet", "orc": ".orc", "csv": ".csv"}.get(fmt)
+    files = list_objects(spark, path, None).select(
+        F.regexp_extract("path", rf"/{key}=([^/]+)/[^/]*$", 1).alias(key), "path").where(F.col(key) != "")
+    if suffix:
+        files = files.where(F.col("path").endswith(suffix))
+    busy = [r[key] for r in files.groupBy(key).count().where(F.col("count") >= min_files).collect()]
+    if not busy:
+        return []
+    cols = [f.name for f in schema.fields]
+    rows = spark.read.schema(schema).format(fmt).load(path).select(*cols)
+    rows = rows.where(F.col(key).cast("string").isin(busy))
+    write_per_key(cut_lineage(rows), path, key, fmt=fmt)
+    return sorted(busy)
 
 
 def drop_key_dirs(spark: SparkSession, path: str, keep: DataFrame, key: str = "code") -> list[str]:

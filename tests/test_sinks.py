@@ -215,3 +215,35 @@ def test_vacuum_leaves_unpublished_newer_versions(spark, scratch, top):
         replace_table(top.withColumn("name", F.raise_error(F.lit("boom"))), name, root)
     assert vacuum_versions(spark, name, root, keep_previous=0) != []
     assert spark.table(name).count() == 2
+
+
+def test_upsert_per_key_append_rewrite_and_compact(spark, scratch):
+    import datetime as dt
+
+    from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType
+
+    from marketlake.sinks.files import compact_per_key, upsert_per_key
+
+    schema = StructType([StructField("code", StringType()), StructField("date", DateType()),
+                         StructField("price", DoubleType())])
+
+    def day(d, code="005930", price=1.0):
+        return (code, dt.date(2024, 1, d), price)
+
+    for rewrite in (False, True):
+        p = scratch("perkey_upsert")
+        upsert_per_key(spark, p, spark.createDataFrame([day(1), day(2), day(1, "000660")], schema), schema,
+                       rewrite=rewrite)
+        incoming = spark.createDataFrame([day(2), day(3), day(4), day(1, "000660"), day(5, "035720")], schema)
+        upsert_per_key(spark, p, incoming, schema, rewrite=rewrite)
+        upsert_per_key(spark, p, incoming, schema, rewrite=rewrite)  # rerun: nothing new
+        got = sorted((r.code, r.date.day) for r in spark.read.schema(schema).parquet(p).collect())
+        assert got == [("000660", 1), ("005930", 1), ("005930", 2), ("005930", 3), ("005930", 4),
+                       ("035720", 5)], rewrite
+    # appended files pile up per code; compaction rewrites those directories only
+    for d in range(6, 12):
+        upsert_per_key(spark, p, spark.createDataFrame([day(d)], schema), schema)
+    before = sorted(map(tuple, spark.read.schema(schema).parquet(p).collect()))
+    assert compact_per_key(spark, p, schema, min_files=4) == ["005930"]
+    assert sorted(map(tuple, spark.read.schema(schema).parquet(p).collect())) == before
+    assert len(glob.glob(_local(p) + "/code=005930/*.parquet")) < 4
