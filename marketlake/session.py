@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints (lineage cuts, materialised per-key sides) are deleted once
+    # nothing references them any more, so daily runs do not accumulate them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
