@@ -18,6 +18,19 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def bounded_values(df: DataFrame, column: str, max_values: int) -> list:
+    """The distinct values of ``column`` as a Python list, refused beyond ``max_values``.
+
+    For short key lists (a top-k) that become literal ``IN`` filters: pruned
+    partitions on a per-key layout and Parquet filter push-down, where a join
+    against a limited frame gets neither. Reads at most ``max_values + 1`` rows.
+    """
+    rows = df.select(column).distinct().limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        raise ValueError(f"more than {max_values} values in {column!r}; join instead")
+    return [r[0] for r in rows]
+
+
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (a ``limit(n)``
     result or a constant list). Callers must guarantee the bound."""

@@ -13,7 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.operators.common import bounded_broadcast, join_materialized, join_per_key, materialize_per_key
+from marketlake.operators.common import (
+    bounded_broadcast,
+    bounded_values,
+    join_materialized,
+    join_per_key,
+    materialize_per_key,
+)
 
 
 def latest_date(history: DataFrame, key: str = "code", date: str = "date", alias: str = "last_date") -> DataFrame:
@@ -78,6 +84,13 @@ def since(history: DataFrame, codes: DataFrame, start, key: str = "code", date:
     return join_per_key(h, codes.select(key).distinct(), key, "left_semi")
 
 
+def history_of(history: DataFrame, codes: DataFrame, max_codes: int = 1000, key: str = "code") -> DataFrame:
+    """History of a short code list (a top-k): the codes become a literal
+    ``IN`` filter, which prunes ``code=`` directories of a per-key layout and
+    is pushed into Parquet scans (a join against a limited frame is neither)."""
+    return history.where(F.col(key).isin(bounded_values(codes, key, max_codes)))
+
+
 def attach(history: DataFrame, attrs: DataFrame, key: str = "code", cols: Sequence[str] = ("name",),
            bounded: bool = False) -> DataFrame:
     """Add company attributes to each history row (inner join on ``key``).

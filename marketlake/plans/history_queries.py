@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketlake.operators.history import (
     append_incremental,
     attach,
+    history_of,
     latest_date,
     latest_row,
     retention_split,
@@ -145,9 +146,10 @@ WHERE h.code IN (SELECT code FROM (
   SELECT {RANK_SQL} AS ranking, c_custkey AS code FROM customer) t WHERE ranking <= 3)""",
 )
 def topk_history(spark, sf_dir):
-    """L1 + J1: history of the first three ranked codes (broadcast of 3 keys)."""
+    """L1 + J1: history of the first three ranked codes (a literal IN filter on
+    the three codes, pushed into the scan)."""
     top3 = first_k_codes(ranked_companies(spark, sf_dir), 3)
-    return attach(price_history(spark, sf_dir).select(*COLS), top3, "code", [], bounded=True)
+    return history_of(price_history(spark, sf_dir).select(*COLS), top3, 3)
 
 
 @register(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import int_code, parse_year, strip_quotes
 from marketlake.operators.conform import typed_history
 from marketlake.operators.common import join_materialized, join_per_key, materialize_per_key
-from marketlake.operators.history import attach, incremental_rows, retention_split, split_known
+from marketlake.operators.history import history_of, incremental_rows, retention_split, split_known
 from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_k_codes, rank_top, zip_lists
 from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_first_wins
 from marketlake.operators.volatility import DEFAULT_THRESHOLD_PCT, daily_first_price, high_volatility
@@ -222,14 +222,15 @@ def top_volatility_job(
     order: Sequence[str] = ("row_key",),
     code_width: int = 6,
 ) -> DataFrame:
-    """First ``k`` ranked codes (L1) -> zero-padded code text (X8) -> their
-    history (J1, broadcast of k keys) -> one price per day -> high-volatility
-    rows (W3) -> reload (K7).
+    """First ``k`` ranked codes (L1) -> their history (J1, a literal IN
+    filter on the k codes: pruned code partitions / pushed-down Parquet
+    filter) -> zero-padded code text (X8) -> one price per day ->
+    high-volatility rows (W3) -> reload (K7).
 
     ``ranked``: ranking, code. ``history``: code, date, price + ``order`` columns.
     """
     top = first_k_codes(ranked, k).select("code")
-    mine = attach(history, top, "code", [], bounded=True).withColumn("code", int_code("code", code_width))
+    mine = history_of(history, top, k).withColumn("code", int_code("code", code_width))
     series = daily_first_price(mine, "code", "date", "price", list(order))
     return truncate_reload(high_volatility(series, threshold_pct), table, root)
 
