@@ -112,3 +112,24 @@ def join_per_key(big: DataFrame, per_key: DataFrame, key: str, how: str = "inner
     """
     m, rows = materialize_per_key(per_key)
     return join_materialized(big, m, rows, key, how, broadcast_rows, target_rows_per_task)
+
+
+# Up to this many keys a membership test is a literal IN (partition pruning,
+# Parquet push-down); beyond it, a size-checked join.
+MAX_LITERAL_KEYS = 1000
+
+
+def filter_by_keys(big: DataFrame, keys: DataFrame, key: str, keep: bool = True,
+                   max_literal: int = MAX_LITERAL_KEYS) -> DataFrame:
+    """Rows of ``big`` whose ``key`` is (``keep=True``) or is not in ``keys``.
+
+    A short key list (a top-N, at most ``max_literal`` distinct keys, checked)
+    becomes a literal ``IN`` / ``NOT IN`` filter; a longer one is joined with
+    ``join_per_key``. NULL keys are never "in" the list.
+    """
+    try:
+        values = bounded_values(keys.where(F.col(key).isNotNull()), key, max_literal)
+    except ValueError:
+        return join_per_key(big, keys.select(key).distinct(), key, "left_semi" if keep else "left_anti")
+    member = F.col(key).isin(values)
+    return big.where(member) if keep else big.where(~F.coalesce(member, F.lit(False)))

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.operators.common import (
+    MAX_LITERAL_KEYS,
     bounded_broadcast,
     bounded_values,
+    filter_by_keys,
     join_materialized,
     join_per_key,
     materialize_per_key,
@@ -78,10 +80,11 @@ def append_incremental(stored: DataFrame, incoming: DataFrame, key: str = "code"
 def since(history: DataFrame, codes: DataFrame, start, key: str = "code", date: str = "date") -> DataFrame:
     """Rows of the listed codes with ``date >= start`` (the price lookup).
 
-    The code list is broadcast after a size check (``join_per_key``).
+    A short code list is a literal ``IN`` filter next to the date filter,
+    both pushed into the scan (``filter_by_keys``); a long one is joined.
     """
     h = history.where(F.col(date) >= F.lit(start).cast("date"))
-    return join_per_key(h, codes.select(key).distinct(), key, "left_semi")
+    return filter_by_keys(h, codes, key)
 
 
 def history_of(history: DataFrame, codes: DataFrame, max_codes: int = 1000, key: str = "code") -> DataFrame:
@@ -108,9 +111,15 @@ def attach(history: DataFrame, attrs: DataFrame, key: str = "code", cols: Sequen
 def retention_split(history: DataFrame, keep_codes: DataFrame, key: str = "code") -> tuple[DataFrame, DataFrame]:
     """(kept, dropped) history rows by membership of ``key`` in the keep list.
 
-    The keep list is materialised and counted once, then broadcast for both
-    joins (or, beyond the bound, joined with hot keys split).
+    A short keep list (a top-N) becomes literal ``IN`` / ``NOT IN`` filters
+    (pruned partitions, pushed-down scans); a long one is materialised and
+    counted once, then broadcast for both joins (or joined with hot keys split).
     """
-    keys, rows = materialize_per_key(keep_codes.select(key).distinct())
-    return (join_materialized(history, keys, rows, key, "left_semi"),
-            join_materialized(history, keys, rows, key, "left_anti"))
+    try:
+        values = bounded_values(keep_codes.where(F.col(key).isNotNull()), key, MAX_LITERAL_KEYS)
+    except ValueError:
+        keys, rows = materialize_per_key(keep_codes.select(key).distinct())
+        return (join_materialized(history, keys, rows, key, "left_semi"),
+                join_materialized(history, keys, rows, key, "left_anti"))
+    member = F.col(key).isin(values)
+    return history.where(member), history.where(~F.coalesce(member, F.lit(False)))

@@ -54,9 +54,12 @@ def test_per_key_layout_reads_only_the_listed_code_partitions(spark, capsys):
     assert sorted({r.code for r in got.collect()}) == [3, 7]
 
 
-def test_retention_broadcasts_bounded_list(spark, qs, capsys):
-    text = plan(qs["retention_keep"](spark, SF_SMALL), capsys)
-    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+def test_retention_and_lookup_push_the_short_code_list_into_the_scan(spark, qs, capsys):
+    for name in ("retention_keep", "history_since"):
+        text = plan(qs[name](spark, SF_SMALL), capsys)
+        assert "Join" not in text and re.search(r"PushedFilters: \[[^\]]*In\(o_custkey", text), name
+    # the complement reads every other code anyway: a NOT IN filter, still no join
+    assert "Join" not in plan(qs["retention_drop"](spark, SF_SMALL), capsys)
 
 
 def test_filter_reaches_scan(spark, qs, capsys):
