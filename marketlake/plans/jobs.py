@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import int_code, parse_year, strip_quotes
 from marketlake.operators.conform import typed_history
-from marketlake.operators.common import join_materialized, join_per_key, materialize_per_key
+from marketlake.operators.common import filter_by_keys, join_materialized, join_per_key, materialize_per_key
 from marketlake.operators.history import history_of, incremental_rows, retention_split, split_known
 from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_k_codes, rank_top, zip_lists
 from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_first_wins
@@ -95,15 +95,15 @@ def history_refresh_job(
     appends nothing.
     """
     spark = listing.sparkSession
-    # The listing is materialised and counted once; both joins below broadcast
-    # it after that size check (or split hot codes beyond the bound).
+    # The listing is materialised and counted once; the name join broadcasts
+    # it after that size check (or splits hot codes beyond the bound).
     top, rows = materialize_per_key(listing.select("code", "name").distinct())
     codes = top.select("code")
-    # Only the listed codes' stored rows matter (for the split and their last dates).
-    stored_top = join_materialized(spark.table(history_table).select("code", "date"), codes, rows, "code",
-                                   "left_semi")
+    # Only the listed codes' rows matter: a short list is a literal IN filter
+    # on both scans (pruned code partitions, pushed-down Parquet filter).
+    stored_top = filter_by_keys(spark.table(history_table).select("code", "date"), codes, "code")
     _, new = split_known(top, stored_top)
-    candidates = join_materialized(prices, top, rows, "code", "inner")
+    candidates = join_materialized(filter_by_keys(prices, codes, "code"), top, rows, "code", "inner")
     if start is not None:
         candidates = candidates.where(F.col("date") >= F.lit(start).cast("date"))
     rows = incremental_rows(stored_top, candidates)
