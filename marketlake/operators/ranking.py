@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions import map_lookup
-from marketlake.operators.common import join_materialized, materialize_per_key
+from marketlake.operators.common import filter_by_keys
 
 # Exchange name -> published exchange code; anything else is 'baddata'.
 EXCHANGE_CODES = {
@@ -96,11 +96,10 @@ def attach_exchange(
     """Left join a listing with symbol metadata, then map the exchange.
 
     A symbol absent from the metadata and an exchange outside the map both
-    give ``default``. The metadata is first reduced to the listed symbols with
-    a semi-join against the listed codes, broadcast after a size check
-    (``join_materialized``), so the large side is scanned once, not shuffled.
+    give ``default``. The metadata is first reduced to the listed symbols
+    (``filter_by_keys``: a literal IN pushed into its scan for a short list,
+    a size-checked join otherwise), so the large side is never shuffled whole.
     """
-    codes, rows = materialize_per_key(listing.select(key).distinct())
-    meta = join_materialized(metadata.select(key, exchange_col), codes, rows, key, "left_semi")
+    meta = filter_by_keys(metadata.select(key, exchange_col), listing.select(key), key)
     meta = meta.groupBy(key).agg(F.min(exchange_col).alias(exchange_col))  # one row per symbol
     return listing.join(meta, key, "left").withColumn(out_col, exchange_code(exchange_col, mapping, default))
