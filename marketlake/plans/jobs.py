@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import int_code, parse_year, strip_quotes
 from marketlake.operators.conform import typed_history
-from marketlake.operators.common import filter_by_keys, join_materialized, join_per_key, materialize_per_key
+from marketlake.operators.common import filter_by_keys, join_materialized, materialize_per_key
 from marketlake.operators.history import history_of, incremental_rows, retention_split, split_known
 from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_k_codes, rank_top, zip_lists
 from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_first_wins
@@ -132,7 +132,7 @@ def load_listed_codes(spark: SparkSession, manifest_path: str, history: DataFram
     codes = manifest.select(F.col(key).cast(history.schema[key].dataType).alias(key)).distinct()
     present = spark.table(table).select(key).distinct()
     wanted = codes.join(present, key, "left_anti")  # listed and not loaded yet
-    rows = join_per_key(history, wanted, key, "left_semi")
+    rows = filter_by_keys(history, wanted, key)
     if not rows.isEmpty():  # F5
         append_rows(rows, table)
     if delete_manifest:
@@ -177,7 +177,7 @@ def manifest_jdbc_load_job(
         .select("code").distinct()
     )
     wanted = manifest.distinct().join(present, "code", "left_anti")  # listed and not loaded yet
-    rows = join_per_key(typed, wanted, "code", "left_semi")
+    rows = filter_by_keys(typed, wanted, "code")
     if not rows.isEmpty():  # F5
         write_jdbc(rows, url, table, mode="append", properties=properties)
     if delete_manifest:
