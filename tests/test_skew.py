@@ -104,3 +104,15 @@ def test_skew_join_splits_only_hot_keys(skewed, spark, pdf, capsys):
         a = sorted(map(tuple, skew_join(skewed, last, "code", how, 1_000).collect()))
         b = sorted(map(tuple, skewed.join(last, "code", how).collect()))
         assert a == b, how
+
+
+def test_filter_by_keys_literal_and_join_paths_agree(skewed, spark, capsys):
+    from marketlake.operators.common import filter_by_keys
+
+    keys = spark.createDataFrame([(HOT,), (3,), (None,)], "code long")
+    with_null = skewed.unionByName(skewed.limit(5).withColumn("code", F.lit(None).cast("long")))
+    for keep in (True, False):
+        literal = filter_by_keys(with_null, keys, "code", keep)
+        joined = filter_by_keys(with_null, keys, "code", keep, max_literal=1)  # forces the join path
+        assert "Join" not in _plan(literal, capsys)
+        assert sorted(map(repr, literal.collect())) == sorted(map(repr, joined.collect())), keep
