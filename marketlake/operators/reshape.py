@@ -112,18 +112,21 @@ def group_sum(
     value: str,
     alias: str,
     decimal_scale: int | None = None,
+    decimal_precision: int = 18,
 ) -> DataFrame:
     """Sum per key with pandas ``groupby().sum()`` semantics.
 
     NULL values are ignored, a group whose values are all NULL sums to 0,
     rows with a NULL key are dropped. With ``decimal_scale`` the sum is exact
-    (through DECIMAL(18, scale)) and returned as double, so the result does not
-    depend on the order partitions are combined in.
+    (through DECIMAL(decimal_precision, scale)) and returned as double, so the
+    result does not depend on the order partitions are combined in. Precision
+    18 keeps the per-row cast on 64-bit decimals; pass 38 for values of 10^14
+    and more (a value that does not fit raises under ANSI mode).
     """
     ks = _names(keys)
     v = F.col(value)
     if decimal_scale is not None:
-        v = v.cast(DecimalType(18, decimal_scale))
+        v = v.cast(DecimalType(decimal_precision, decimal_scale))
     total = F.sum(v)
     if decimal_scale is not None:
         total = total.cast("double")

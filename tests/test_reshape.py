@@ -131,3 +131,9 @@ def test_union_ranges_first_fetch_wins_without_shuffle(spark, capsys):
     assert sorted(tuple(r) for r in out.collect()) == [(1999, 1.0), (2000, 2.0), (2001, 3.0)]
     out.explain()
     assert "Exchange" not in capsys.readouterr().out
+
+
+def test_group_sum_large_values_with_wider_decimal(spark):
+    df = spark.createDataFrame([("KOR", 2.2e15), ("KOR", 1.25)], "k string, v double")
+    got = group_sum(df, "k", "v", "s", decimal_scale=4, decimal_precision=38).first()
+    assert got.s == 2.2e15 + 1.25
