@@ -85,3 +85,17 @@ def test_json_field(spark):
             mf.json_field(F.lit("{}"), "$.k", "bigint").alias("b"),
             mf.json_field(F.lit("not json"), "$.k").alias("c"))
     assert (r.a, r.b, r.c) == (69, None, None)
+
+
+def test_avro_record_schemas_agree():
+    import json
+
+    from marketlake.schemas import AVRO_HISTORY, AVRO_HISTORY_JSON, STAT_FIELDS, STAT_LONG, STAT_ROW_TEXT
+
+    avro = json.loads(AVRO_HISTORY_JSON)["fields"]
+    kinds = {"string": "string", "float": "float"}
+    assert [f["name"] for f in avro] == [f.name for f in AVRO_HISTORY.fields]
+    for a, s in zip(avro, AVRO_HISTORY.fields):
+        assert "null" in a["type"] and s.nullable
+        assert kinds[[t for t in a["type"] if t != "null"][0]] == s.dataType.simpleString()
+    assert [f.name for f in STAT_ROW_TEXT.fields] == STAT_FIELDS == [f.name for f in STAT_LONG.fields]
