@@ -220,7 +220,7 @@ def top_volatility_job(
     k: int = 3,
     threshold_pct: float = DEFAULT_THRESHOLD_PCT,
     order: Sequence[str] = ("row_key",),
-    code_width: int = 6,
+    code_width: int | None = 6,
 ) -> DataFrame:
     """First ``k`` ranked codes (L1) -> their history (J1, a literal IN
     filter on the k codes: pruned code partitions / pushed-down Parquet
@@ -228,9 +228,12 @@ def top_volatility_job(
     high-volatility rows (W3) -> reload (K7).
 
     ``ranked``: ranking, code. ``history``: code, date, price + ``order`` columns.
+    ``code_width=None`` leaves codes untouched (ticker symbols).
     """
     top = first_k_codes(ranked, k).select("code")
-    mine = history_of(history, top, k).withColumn("code", int_code("code", code_width))
+    mine = history_of(history, top, k)
+    if code_width is not None:  # numeric KR codes -> 6-digit text; tickers stay as they are
+        mine = mine.withColumn("code", int_code("code", code_width))
     series = daily_first_price(mine, "code", "date", "price", list(order))
     return truncate_reload(high_volatility(series, threshold_pct), table, root)
 

@@ -95,3 +95,16 @@ def test_macro_job_end_to_end_with_punctuated_korean_columns(spark):
                                 scratch_path(spark, "tables"), order=list(series.DEFAULT_ORDER),
                                 items=series.INTEREST_RATE_ITEMS)
     assert again.count() == 1
+
+
+def test_volatility_job_with_ticker_codes(spark):
+    from marketlake.plans import jobs
+
+    ranked = spark.createDataFrame([(1, "AAPL"), (2, "MSFT"), (3, "NVDA"), (4, "TSLA")], "ranking int, code string")
+    hist = spark.createDataFrame(
+        [("AAPL", dt.date(2024, 1, 2), 100.0, 1), ("AAPL", dt.date(2024, 1, 3), 110.0, 2),
+         ("TSLA", dt.date(2024, 1, 2), 10.0, 3), ("TSLA", dt.date(2024, 1, 3), 20.0, 4)],
+        "code string, date date, price double, row_key long")
+    out = jobs.top_volatility_job(ranked, hist, "vol_" + os.urandom(4).hex(), scratch_path(spark, "tables"),
+                                  k=3, threshold_pct=5.0, code_width=None)
+    assert [(r.code, round(r.change, 6)) for r in out.collect()] == [("AAPL", 10.0)]  # TSLA is not in the top 3
