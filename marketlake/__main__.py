@@ -74,7 +74,8 @@ def run_volatility(spark, a) -> None:
 
     ranked = _read(spark, a.ranked, a.ranked_format).select("ranking", "code")
     history = _read(spark, a.history, a.history_format).select("code", "date", "price", "row_key")
-    jobs.top_volatility_job(ranked, history, a.table, a.root, a.k, a.threshold)
+    jobs.top_volatility_job(ranked, history, a.table, a.root, a.k, a.threshold,
+                            code_width=a.code_width or None)
 
 
 def run_retention(spark, a) -> None:
@@ -139,6 +140,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.add_argument("--k", type=int, default=3)
     s.add_argument("--threshold", type=float, default=5.0)
+    s.add_argument("--code-width", type=int, default=6, help="zero-pad numeric codes; 0 keeps them (tickers)")
     s.set_defaults(run=run_volatility)
 
     s = sub.add_parser("retention", help="drop the history of codes no longer listed")
