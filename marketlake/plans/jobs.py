@@ -29,7 +29,7 @@ from marketlake.sources.warehouse import list_tables
 
 def macro_wide_job(
     long: DataFrame,
-    raw_path: str,
+    raw_path: str | None,
     processed_path: str,
     table: str,
     root: str,
@@ -44,11 +44,15 @@ def macro_wide_job(
     rename (P1/P3)] -> processed CSV sorted by TIME (K1) -> reload table (K7).
 
     ``columns`` maps item -> output name and fixes the output columns; without
-    it the listed ``items`` become the columns.
+    it the listed ``items`` become the columns. ``raw_path=None`` skips the
+    landing (re-running from the raw zone itself: ``long`` already is it).
     """
     spark = long.sparkSession
-    write_parquet(long, raw_path)
-    raw = spark.read.parquet(raw_path)
+    if raw_path is None:
+        raw = long
+    else:
+        write_parquet(long, raw_path)
+        raw = spark.read.parquet(raw_path)
     if items:
         raw = filter_in(raw, key, items)
     values = list(columns) if columns else (list(items) if items else None)

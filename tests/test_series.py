@@ -108,3 +108,18 @@ def test_volatility_job_with_ticker_codes(spark):
     out = jobs.top_volatility_job(ranked, hist, "vol_" + os.urandom(4).hex(), scratch_path(spark, "tables"),
                                   k=3, threshold_pct=5.0, code_width=None)
     assert [(r.code, round(r.change, 6)) for r in out.collect()] == [("AAPL", 10.0)]  # TSLA is not in the top 3
+
+
+def test_macro_job_rerun_from_raw_zone(spark):
+    from marketlake.plans import jobs
+
+    rows = [r("20240102", "원/달러(종가 15:30)", "1300.5"), r("20240102", "원/위안(종가)", "182.4")]
+    long = to_stat_long(read_statistics(spark, _land(spark, {"fx.json": rows})))
+    raw = scratch_path(spark, "raw")
+    root, name = scratch_path(spark, "tables"), "fx_" + os.urandom(4).hex()
+    jobs.macro_wide_job(long, raw, scratch_path(spark, "csv"), name, root, list(series.DEFAULT_ORDER),
+                        columns=series.EXCHANGE_RATE_COLUMNS)
+    from_raw = spark.read.parquet(raw)  # a later rerun starts from the landed raw zone
+    out = jobs.macro_wide_job(from_raw, None, scratch_path(spark, "csv"), name, root, list(series.DEFAULT_ORDER),
+                              columns=series.EXCHANGE_RATE_COLUMNS)
+    assert [(x["달러"], x["위안"]) for x in out.collect()] == [(1300.5, 182.4)]
