@@ -55,6 +55,26 @@ def run_rank_publish(spark, a) -> None:
     jobs.rank_publish_rows(rows, metadata, a.csv, a.table, a.root)
 
 
+def run_snapshot(spark, a) -> None:
+    from marketlake.sinks.tables import truncate_reload, with_run_date
+
+    listing = _read(spark, a.listing, a.listing_format).select(
+        F.col(a.name_col).alias("name"), F.col(a.code_col).cast("string").alias("code"))
+    truncate_reload(with_run_date(listing, a.as_of), a.table, a.root)
+
+
+def run_per_key_upsert(spark, a) -> None:
+    from pyspark.sql.types import StructType
+
+    from marketlake.sinks.files import drop_key_dirs, upsert_per_key
+
+    schema = StructType.fromDDL(a.schema)
+    incoming = _read(spark, a.incoming, a.incoming_format).select(*[f.name for f in schema.fields])
+    upsert_per_key(spark, a.path, incoming, schema, fmt=a.format, rewrite=a.rewrite)
+    if a.keep:
+        drop_key_dirs(spark, a.path, _read(spark, a.keep, a.keep_format).select("code"))
+
+
 def run_history_refresh(spark, a) -> None:
     from marketlake.plans import jobs
 
@@ -115,6 +135,27 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.set_defaults(run=run_rank_publish)
 
+    s = sub.add_parser("snapshot", help="the day's listing stamped with the run date, replace-loaded")
+    s.add_argument("--listing", required=True)
+    s.add_argument("--listing-format", default="csv")
+    s.add_argument("--name-col", default="CompanyName")
+    s.add_argument("--code-col", default="CompanyCode")
+    s.add_argument("--as-of", required=True, help="run date, yyyy-MM-dd (never the wall clock)")
+    s.add_argument("--table", required=True)
+    s.add_argument("--root", required=True)
+    s.set_defaults(run=run_snapshot)
+
+    s = sub.add_parser("per-key-upsert", help="per-code history directories: add newer days")
+    s.add_argument("--path", required=True)
+    s.add_argument("--incoming", required=True)
+    s.add_argument("--incoming-format", default="parquet")
+    s.add_argument("--schema", default="code string, date date, price double, row_key long")
+    s.add_argument("--format", default="parquet")
+    s.add_argument("--rewrite", action="store_true", help="replace touched code directories instead of appending")
+    s.add_argument("--keep", help="listing of codes to keep; directories of other codes are dropped")
+    s.add_argument("--keep-format", default="csv")
+    s.set_defaults(run=run_per_key_upsert)
+
     s = sub.add_parser("history-refresh", help="append new days / backfill new codes")
     s.add_argument("--listing", required=True)
     s.add_argument("--listing-format", default="csv")

@@ -175,7 +175,9 @@ def upsert_per_key(
         stored = spark.read.schema(schema).format(fmt).load(path).select(*cols)
     else:
         stored = spark.createDataFrame([], schema)
-    delta = incremental_rows(stored, incoming.select(*cols), key, date)
+    # incoming rows take the declared types (a text CSV landing becomes typed)
+    typed = incoming.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    delta = incremental_rows(stored, typed, key, date)
     if not rewrite:
         write_partitioned(delta, path, [key], fmt=fmt, mode="append")
         return

@@ -14,8 +14,8 @@ def test_cli_parser_covers_every_job():
     from marketlake.__main__ import parser
 
     jobs = set(parser()._subparsers._group_actions[0].choices)
-    assert jobs == {"series", "rank-publish", "history-refresh", "manifest-load", "volatility", "retention",
-                    "replicate"}
+    assert jobs == {"series", "rank-publish", "snapshot", "per-key-upsert", "history-refresh", "manifest-load",
+                    "volatility", "retention", "replicate"}
 
 
 def test_cli_series_job_in_a_fresh_process():
@@ -36,3 +36,32 @@ def test_cli_series_job_in_a_fresh_process():
     env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] pyspark-shell")
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, env=env)
     assert "ROWS" in out.stdout and "1300.5" in out.stdout, out.stdout[-1500:] + out.stderr[-2500:]
+
+
+def test_cli_snapshot_and_per_key_upsert(tmp_path):
+    work = str(tmp_path)
+    listing = os.path.join(work, "top.csv")
+    with open(listing, "w", encoding="utf-8-sig") as f:
+        f.write("CompanyName,CompanyCode\n삼성전자,005930\nSK하이닉스,000660\n")
+    incoming = os.path.join(work, "incoming.csv")
+    with open(incoming, "w") as f:
+        f.write("code,date,price,row_key\n005930,2024-01-02,1.5,1\n000660,2024-01-02,2.5,2\n")
+    keep = os.path.join(work, "keep.csv")
+    with open(keep, "w") as f:
+        f.write("code\n005930\n")
+    hist = os.path.join(work, "hist")
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from marketlake.__main__ import main\n"
+        "from pyspark.sql import SparkSession\n"
+        "main(['snapshot', '--listing', %r, '--as-of', '2024-01-02', '--table', 'kr_top', '--root', %r])\n"
+        "main(['per-key-upsert', '--path', %r, '--incoming', %r, '--incoming-format', 'csv', '--keep', %r])\n"
+        "s = SparkSession.getActiveSession()\n"
+        "print('SNAP', sorted((str(r.date), r.code) for r in s.table('kr_top').collect()))\n"
+        "print('HIST', sorted(r.code for r in s.read.schema('date date, price double, row_key long, code string')"
+        ".parquet(%r).collect()))\n"
+    ) % (ROOT, listing, os.path.join(work, "tables"), hist, incoming, keep, hist)
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] pyspark-shell")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, env=env)
+    assert "SNAP [('2024-01-02', '000660'), ('2024-01-02', '005930')]" in out.stdout, out.stdout + out.stderr[-2500:]
+    assert "HIST ['005930']" in out.stdout, out.stdout + out.stderr[-2500:]
