@@ -19,10 +19,20 @@ def _props(pairs: list[str]) -> dict[str, str]:
     return dict(p.split("=", 1) for p in pairs or [])
 
 
-def _read(spark, path: str, fmt: str):
+def _read(spark, path: str, fmt: str, ddl: str | None = None):
+    """Read an input; with ``ddl`` (``"code string, date date, ..."``) keep exactly
+    those columns, cast to those types (text CSV inputs become typed)."""
+    from pyspark.sql.types import StructType
+
     from marketlake.sources.files import read_csv
 
-    return read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    df = read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    if ddl is None:
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in StructType.fromDDL(ddl).fields])
+
+
+HISTORY_DDL = "code string, date date, price double, row_key long"
 
 
 def run_series(spark, a) -> None:
@@ -51,7 +61,7 @@ def run_rank_publish(spark, a) -> None:
 
     listing = _read(spark, a.listing, a.listing_format)  # one row per company: position, name, code
     rows = listing.select(F.col(a.order_col).cast("int").alias("pos"), "name", "code")
-    metadata = _read(spark, a.metadata, a.metadata_format).select("code", "exchange")
+    metadata = _read(spark, a.metadata, a.metadata_format, "code string, exchange string")
     jobs.rank_publish_rows(rows, metadata, a.csv, a.table, a.root)
 
 
@@ -72,14 +82,14 @@ def run_per_key_upsert(spark, a) -> None:
     incoming = _read(spark, a.incoming, a.incoming_format).select(*[f.name for f in schema.fields])
     upsert_per_key(spark, a.path, incoming, schema, fmt=a.format, rewrite=a.rewrite)
     if a.keep:
-        drop_key_dirs(spark, a.path, _read(spark, a.keep, a.keep_format).select("code"))
+        drop_key_dirs(spark, a.path, _read(spark, a.keep, a.keep_format, "code string"))
 
 
 def run_history_refresh(spark, a) -> None:
     from marketlake.plans import jobs
 
-    listing = _read(spark, a.listing, a.listing_format).select("code", "name")
-    prices = _read(spark, a.prices, a.prices_format).select("code", "date", "price", "row_key")
+    listing = _read(spark, a.listing, a.listing_format, "code string, name string")
+    prices = _read(spark, a.prices, a.prices_format, HISTORY_DDL)
     jobs.history_refresh_job(listing, prices, a.table, a.manifest, a.start)
 
 
@@ -92,8 +102,8 @@ def run_manifest_load(spark, a) -> None:
 def run_volatility(spark, a) -> None:
     from marketlake.plans import jobs
 
-    ranked = _read(spark, a.ranked, a.ranked_format).select("ranking", "code")
-    history = _read(spark, a.history, a.history_format).select("code", "date", "price", "row_key")
+    ranked = _read(spark, a.ranked, a.ranked_format, "ranking int, code string")
+    history = _read(spark, a.history, a.history_format, HISTORY_DDL)
     jobs.top_volatility_job(ranked, history, a.table, a.root, a.k, a.threshold,
                             code_width=a.code_width or None)
 
@@ -101,7 +111,7 @@ def run_volatility(spark, a) -> None:
 def run_retention(spark, a) -> None:
     from marketlake.plans import jobs
 
-    jobs.retention_job(a.table, _read(spark, a.keep, a.keep_format).select("code"), a.root)
+    jobs.retention_job(a.table, _read(spark, a.keep, a.keep_format, "code string"), a.root)
 
 
 def run_replicate(spark, a) -> None:
@@ -149,7 +159,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--path", required=True)
     s.add_argument("--incoming", required=True)
     s.add_argument("--incoming-format", default="parquet")
-    s.add_argument("--schema", default="code string, date date, price double, row_key long")
+    s.add_argument("--schema", default=HISTORY_DDL)
     s.add_argument("--format", default="parquet")
     s.add_argument("--rewrite", action="store_true", help="replace touched code directories instead of appending")
     s.add_argument("--keep", help="listing of codes to keep; directories of other codes are dropped")
