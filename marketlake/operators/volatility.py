@@ -38,9 +38,14 @@ def daily_first_price(
     )
 
 
-def with_change(series: DataFrame, key: str = "code", date: str = "date", price: str = "price") -> DataFrame:
-    """Add prev_price and change (percent) against the previous day of the same code."""
-    w = Window.partitionBy(key).orderBy(F.col(date).asc())
+def with_change(series: DataFrame, key: str = "code", date: str = "date", price: str = "price",
+                tie: Sequence[str] = ()) -> DataFrame:
+    """Add prev_price and change (percent) against the previous row of the same code.
+
+    ``tie`` columns order rows sharing a date (none when the series has one row
+    per code and day, as ``daily_first_price`` produces), keeping it deterministic.
+    """
+    w = Window.partitionBy(key).orderBy(F.col(date).asc(), *[F.col(t).asc() for t in tie])
     prev = F.lag(price).over(w)
     return (
         series.withColumn("prev_price", prev)
@@ -54,6 +59,7 @@ def high_volatility(
     key: str = "code",
     date: str = "date",
     price: str = "price",
+    tie: Sequence[str] = (),
 ) -> DataFrame:
     """Rows whose absolute daily change is at least ``threshold_pct`` percent.
 
@@ -61,7 +67,7 @@ def high_volatility(
     each window partition is bounded by the calendar, not by data volume.
     """
     return (
-        with_change(series, key, date, price)
+        with_change(series, key, date, price, tie)
         .where(F.col("prev_price").isNotNull() & (F.abs(F.col("change")) >= F.lit(float(threshold_pct))))
         .select(key, date, price, "prev_price", "change")
     )
