@@ -86,3 +86,12 @@ def test_volatility_window_runs_after_daily_preaggregation(spark, qs, capsys):
     text = plan(qs["high_volatility"](spark, SF_SMALL), capsys)
     # the formatted plan lists the top node first: the window sits above the daily aggregate
     assert text.index("Window") < text.index("Aggregate")
+
+
+def test_hot_paths_run_in_whole_stage_codegen(spark, qs, capsys):
+    for name in ("pivot_wide", "group_sum", "latest_date", "incremental_append", "retention_keep", "typed_load"):
+        df = qs[name](spark, SF_SMALL)
+        capsys.readouterr()
+        df.explain()  # simple mode marks code-generated operators with *(n)
+        text = capsys.readouterr().out
+        assert re.search(r"\*\(\d+\) ", text), name
