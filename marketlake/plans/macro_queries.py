@@ -327,3 +327,32 @@ def series_interest_rates(spark, sf_dir):
     """Interest-rate preset: the ten listed items only, fixed columns (items the
     source lacks are all-NULL columns), missing values never win "first"."""
     return series.interest_rates(_item_long(spark, sf_dir, INTEREST_ITEMS, with_missing=True), order=["event_id"])
+
+
+@register(
+    "json_files",
+    f"""SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS "STAT_CODE", event_type AS "ITEM_NAME1",
+  {DAY_SQL} AS "TIME", value AS "DATA_VALUE"
+FROM events WHERE event_type <> 'error'""",
+)
+def json_files(spark, sf_dir):
+    """S1 over landed files: every event written as one envelope per line
+    (JSON Lines; 'error' events as an error answer without rows), read back
+    with the explicit record schema; absent fields are NULL, extra ones dropped."""
+    from marketlake.session import scratch_path
+    from marketlake.sources.statistics import read_statistics, to_stat_long
+
+    ev = read_table(spark, sf_dir, "events")
+    record = F.struct(
+        json_field("props", "$.k", "string").alias("STAT_CODE"),
+        F.col("event_type").alias("ITEM_NAME1"),
+        stat_time("ts").alias("TIME"),
+        F.col("value").cast("string").alias("DATA_VALUE"),
+        F.col("user_id").alias("EXTRA_FIELD"),
+    )
+    envelope = F.to_json(F.struct(F.struct(F.array(record).alias("row")).alias("StatisticSearch")))
+    line = F.when(F.col("event_type") != "error", envelope).otherwise(F.lit('{"RESULT": {"CODE": "INFO-200"}}'))
+    path = scratch_path(spark, "responses")
+    ev.select(line.alias("value")).write.text(path)
+    rows = to_stat_long(read_statistics(spark, path, json_lines=True))
+    return rows.select(F.col("STAT_CODE").cast("bigint").alias("STAT_CODE"), "ITEM_NAME1", "TIME", "DATA_VALUE")

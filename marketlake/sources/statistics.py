@@ -46,14 +46,24 @@ def read_statistics(
     row_schema: StructType = STAT_ROW_TEXT,
     root: str = "StatisticSearch",
     strict: bool = False,
+    json_lines: bool = False,
 ) -> DataFrame:
-    """Landed response files (one JSON document per file) -> long rows.
+    """Landed response files -> long rows.
 
-    Files are independent tasks; each document is parsed with the explicit
-    schema, never inferred. ``source_file`` and ``row_pos`` tell which response
-    a row came from and where in it, i.e. the input order.
+    Default: one JSON document per file (an API response); files are
+    independent tasks, and ``source_file, row_pos`` (the record's position in
+    its response) is the input order. ``json_lines=True``: one envelope per
+    line, so large files split across tasks; each line is its own response,
+    lines carry no order between them, so "first" must then be ordered by a
+    field of the record. Documents are parsed with the explicit schema,
+    never inferred.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if json_lines:
+        docs = spark.read.text(paths).select(
+            F.col("value").alias("__doc"), F.col("_metadata.file_path").alias("source_file"))
+        return parse_statistics(docs, "__doc", row_schema, root, keep=["source_file"], strict=strict,
+                                with_position=True)
     docs = spark.read.text(paths, wholetext=True).select(
         F.col("value").alias("__doc"), F.col("_metadata.file_path").alias("source_file")
     )
