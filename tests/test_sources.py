@@ -113,3 +113,16 @@ def test_pandas_written_csv_doubled_quotes(spark):
     schema = StructType([StructField("name", StringType()), StructField("code", StringType())])
     rows = [tuple(r) for r in read_csv(spark, d, schema=schema, check_header=True).collect()]
     assert rows == [('Berkshire "B"', "005930"), ("a,b", "000660"), (None, "035720")]
+
+
+def test_read_statistics_json_lines(spark):
+    d = scratch_path(spark, "responses_jsonl")
+    lines = [json.dumps({"StatisticSearch": {"row": [ROW]}}, ensure_ascii=False),
+             json.dumps({"RESULT": {"CODE": "INFO-200"}}),
+             json.dumps({"StatisticSearch": {"row": [ROW, ROW]}}, ensure_ascii=False)]
+    _write(d, "day.jsonl", "\n".join(lines) + "\n")
+    rows = read_statistics(spark, d, json_lines=True).collect()
+    assert len(rows) == 3 and {r.row_pos for r in rows} == {0, 1}
+    assert all(r.WGT is None and r.ITEM_NAME1 == "원/달러(종가 15:30)" for r in rows)
+    with pytest.raises(Exception):
+        read_statistics(spark, d, json_lines=True, strict=True).collect()  # the error line fails strict mode
