@@ -40,7 +40,7 @@ def run_series(spark, a) -> None:
     from marketlake.sinks.tables import truncate_reload
     from marketlake.sources.statistics import read_statistics, to_stat_long
 
-    long = to_stat_long(read_statistics(spark, a.landing, strict=a.strict))
+    long = to_stat_long(read_statistics(spark, a.landing, strict=a.strict, json_lines=a.json_lines))
     order = ["source_file", "row_pos"]
     if a.series == "exchange_rate":
         jobs.macro_wide_job(long, a.raw, a.processed, a.table, a.root, order, columns=series.EXCHANGE_RATE_COLUMNS)
@@ -132,6 +132,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--raw", help="raw zone path (exchange_rate, interest_rates)")
     s.add_argument("--processed", help="processed CSV path (exchange_rate, interest_rates)")
     s.add_argument("--strict", action="store_true", help="fail on a response without data")
+    s.add_argument("--json-lines", action="store_true", help="one response per line instead of per file")
     s.set_defaults(run=run_series)
 
     s = sub.add_parser("rank-publish", help="ranking page -> ranked, exchange-coded table")
