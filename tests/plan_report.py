@@ -61,6 +61,13 @@ def main(argv):
         "(`DataFrame.explain()`); AQE may still switch a sort-merge join to broadcast or coalesce",
         "partitions at run time. Queries that write and read back show the plan of the final read.",
         "",
+        "Columns: `exchanges` = shuffles; `broadcast_joins` / `sort_merge_joins` = join strategies;",
+        "`hash_aggs` / `sort_aggs` / `object_aggs` = aggregate operators (a partial + final pair counts 2;",
+        "sort-based appears for struct orderings); `partial` = a partial aggregate runs before the shuffle;",
+        "`windows`, `top_n` (TakeOrderedAndProject); `python` = any Python UDF node (must be `no`);",
+        "`pushed` = filters pushed into the scans. Zero exchanges and no join with an `In(...)` pushed",
+        "filter means a short code list was applied as a literal filter (partition pruning / push-down).",
+        "",
         "| query | " + " | ".join(cols) + " |",
         "| --- | " + " | ".join("---" for _ in cols) + " |",
     ]
