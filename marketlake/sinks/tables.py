@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,21 +66,20 @@ def replace_table(
     root: str,
     fmt: str = "parquet",
     verify: Callable[[DataFrame], bool] | None = None,
-    partition_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """K7 / K8: all-or-nothing replace of a table's contents.
 
     Raises (and leaves the current version untouched) when the write fails or
-    ``verify(staged)`` returns False.
+    ``verify(staged)`` returns False. Tables replaced this way are
+    unpartitioned: a partitioned catalog table keeps one location per
+    partition, which a single location swap cannot move atomically (use
+    ``sinks.files.write_partitioned`` with dynamic overwrite for those).
     """
     spark = df.sparkSession
     if table_exists(spark, name):
         df = align_to(df, spark.table(name).schema)
     loc = _version_path(root, name)
-    w = df.write.format(fmt).mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(loc)
+    df.write.format(fmt).mode("errorifexists").save(loc)
     staged = spark.read.format(fmt).load(loc)
     if verify is not None and not verify(staged):
         raise RuntimeError(f"verification of the new version of {name} failed; {name} unchanged")
