@@ -247,3 +247,10 @@ def test_upsert_per_key_append_rewrite_and_compact(spark, scratch):
     assert compact_per_key(spark, p, schema, min_files=4) == ["005930"]
     assert sorted(map(tuple, spark.read.schema(schema).parquet(p).collect())) == before
     assert len(glob.glob(_local(p) + "/code=005930/*.parquet")) < 4
+
+
+def test_typed_history_raise_mode(spark):
+    bad = spark.createDataFrame([("not a date", "A", "X", "1.0")], "Date string, Name string, Code string, OpenValue string")
+    assert typed_history(bad).first().date is None  # default: NULL
+    with pytest.raises(Exception):
+        typed_history(bad, on_error="raise").collect()

@@ -59,3 +59,16 @@ def test_bounded_batches_and_archived_sources(spark, scratch):
     assert spark.read.parquet(sink).count() == 3
     local = archive[len("file:"):] if archive.startswith("file:") else archive
     assert len(glob.glob(local + "/**/*.parquet", recursive=True)) >= 1  # processed files moved out
+
+
+def test_csv_landing_partitioned_sink(spark, scratch):
+    import os
+
+    src, sink, ckpt = scratch("landing_csv"), scratch("sink_csv"), scratch("ckpt_csv")
+    local = src[len("file:"):] if src.startswith("file:") else src
+    os.makedirs(local + "/d1")
+    with open(local + "/d1/a.csv", "w") as f:
+        f.write('code,date,price,row_key\n005930,2024-01-02,1.5,1\n"AA,PL",2024-01-03,2.5,2\n')
+    ingest_new_files(spark, src, SCHEMA, sink, ckpt, fmt="csv", partition_by=["date"])
+    got = sorted((r.code, str(r.date), r.price) for r in spark.read.parquet(sink).collect())
+    assert got == [("005930", "2024-01-02", 1.5), ("AA,PL", "2024-01-03", 2.5)]
