@@ -7,8 +7,16 @@ from oracle_harness import compare, duck_connect
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from marketlake.plans import catalog
+
+# The optional training-data queries have tests of their own.
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
+
+
+def test_entry_lists_the_catalogue():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
