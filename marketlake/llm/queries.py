@@ -54,3 +54,21 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm.secrets import find_secrets
 
     return find_secrets(documents(spark, sf_dir))
+
+
+@query
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.minhash import Similar, near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), Similar(words=3, percent=85))
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketlake.llm.sharding import assign_shards, record_size
+
+    records = documents(spark, sf_dir).select("doc_id", record_size("text").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    placed = assign_shards(records, shards=24, seed=20)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -82,12 +83,6 @@ class Memo(dict):
         return value
 
 
-def word_codes() -> Callable[[list[bytes]], np.ndarray]:
-    """words -> 64-bit codes, the same in every task."""
-    code = Memo(xxhash.xxh3_64_intdigest).__getitem__
-    return lambda ws: np.fromiter(map(code, ws), np.uint64, len(ws))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64's finaliser."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -95,6 +90,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(maxsize=64)
 def odd_numbers(n: int, seed: int) -> np.ndarray:
     """n random odd multipliers, fixed by the seed."""
     return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,5 +107,81 @@ def gram_codes(codes: np.ndarray, k: int, seed: int = 17) -> np.ndarray:
     return mix(out)
 
 
-def hashed_key(*columns: Column) -> Column:
-    return F.xxhash64(*columns)
+# Byte classes of a word: 0 parts words, anything else is the byte as it is hashed.
+SPACED = np.arange(256, dtype=np.uint8)  # words are [^\x20\x09-\x0D]+
+SPACED[[32, *range(9, 14)]] = 0
+SPACED[0] = 1  # a NUL is part of a word (hashed apart from \x01, see _scan_part)
+SPACED_LOWER = SPACED.copy()  # the same, A-Z lowered
+SPACED_LOWER[65:91] += 32
+LETTERS = SPACED_LOWER.copy()  # ASCII letters and digits and all other characters; ASCII punctuation parts words
+LETTERS[[c for c in range(128) if not chr(c).isalnum()]] = 0
+
+SCAN_BYTES = 1 << 20
+_BASE = 0x9E3779B97F4A7C15 | 1
+
+
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    def powers(base: int) -> np.ndarray:
+        out = np.ones(1, np.uint64)
+        while len(out) < n:
+            out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
+        return out[:n]
+
+    return powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
+
+
+def _scan_part(data: np.ndarray, firsts: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    value = table[data]
+    inside = value != 0
+    parted = np.ones(len(data) + 1, bool)  # no word goes over this place
+    parted[1:-1] = False
+    parted[firsts] = True
+    start = inside.copy()
+    start[1:] &= ~inside[:-1] | parted[1:-1]
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:] | parted[1:-1]
+    starts, stops = np.flatnonzero(start), np.flatnonzero(stop) + 1
+    size = 1 << max(20, (len(data) - 1).bit_length())
+    power, inverse = _powers(size)
+    number = value.astype(np.uint64)
+    number[data == 0] += np.uint64(255)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(number * power[: len(data)], out=total[1:])
+    codes = (total[stops] - total[starts]) * inverse[starts] + (stops - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return mix(codes), starts, stops
+
+
+def scan_words(texts: pa.Array, table: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit codes of all words of a batch, and the place of each text's first word (one more at the end).
+
+    Works on the batch's buffer as a whole, about SCAN_BYTES at a time, cut where
+    no word goes over. A code is a polynomial of the word's bytes, mixed with its
+    length; it is the same in every task. Nulls have no words.
+    """
+    texts = texts.cast(pa.large_binary())
+    _, offsets, buffer = texts.buffers()
+    at = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
+    data = np.frombuffer(buffer, np.uint8)[at[0] : at[-1]] if buffer is not None and len(texts) and at[-1] > at[0] else np.zeros(0, np.uint8)
+    at = at - at[0]
+    codes, starts, begin = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while begin < len(data):
+        end, step = len(data), SCAN_BYTES
+        while begin + step < len(data):
+            # The last place up to begin + step where a text starts, or a byte that parts words lies.
+            i = int(np.searchsorted(at, begin + step, "right")) - 1
+            cut = int(at[i])
+            if cut <= begin:
+                parts = np.flatnonzero(table[data[begin + 1 : begin + step]] == 0)
+                cut = begin + 1 + int(parts[-1]) if len(parts) else begin
+            if cut > begin:
+                end = cut
+                break
+            step *= 2  # one word is longer than all this
+        firsts = at[(at >= begin) & (at < end)] - begin
+        c, s, _ = _scan_part(data[begin:end], firsts, table)
+        codes.append(c)
+        starts.append(s + begin)
+        begin = end
+    place = np.concatenate(starts)
+    return np.concatenate(codes), np.searchsorted(place, at, "left")
