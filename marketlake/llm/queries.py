@@ -72,3 +72,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = documents(spark, sf_dir).select("doc_id", record_size("text").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     placed = assign_shards(records, shards=24, seed=20)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.fuzzy_lines import line_report
+
+    return line_report(documents(spark, sf_dir))

@@ -57,7 +57,7 @@ def assign_shards(df: DataFrame, shards: int, seed: int, bucket_bytes: int = BUC
     gathered = gathered.select(bucket, F.shuffle("rows", seed).alias("rows"))
     placed = gathered.join(begin, bucket).select(F.posexplode("rows").alias("pos", "r"), at)
     place = F.col("pos") + F.col(at)
-    return placed.select(*[F.col("r")[c].alias(c) for c in df.columns], F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.floor(place / F.lit(shards)).cast("long").alias("slot"))
+    return placed.select(*[F.col("r")[c].alias(c) for c in df.columns], F.pmod(place, F.lit(shards)).cast("int").alias("shard"), ((place - F.pmod(place, F.lit(shards))) / shards).cast("long").alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str, shards: int, seed: int, text: str | None = None, bucket_bytes: int = BUCKET_BYTES) -> None:
