@@ -79,3 +79,10 @@ def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm.fuzzy_lines import line_report
 
     return line_report(documents(spark, sf_dir))
+
+
+@query
+def op6_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.substring import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir), digests=True).drop("text")
