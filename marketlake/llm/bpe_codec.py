@@ -192,12 +192,14 @@ def load_codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode_decode(df: DataFrame, path: str, text: str = "text", digests: bool = False) -> DataFrame:
-    """Appends n_tokens and, per text, its identifiers and their decoding.
+RESULTS = {"ids": "binary", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
 
-    ``digests=False``: ids (little-endian unsigned 32-bit integers, binary) and
-    decoded (string). ``digests=True``: ids_sha256 and decoded_sha256 (lowercase
-    hex) in their place, so that no long column is returned. A null or empty
+
+def encode_decode(df: DataFrame, path: str, text: str = "text", results: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """Appends n_tokens (long) and, per text, the ``results`` asked for.
+
+    ids: little-endian unsigned 32-bit integers (binary); decoded: their decoding (string); ids_sha256 and
+    decoded_sha256: lowercase hex of these, the decoding in UTF-8. A null or empty
     text encodes to nothing and decodes to the empty string. Repeated rows are
     encoded each for itself; other columns pass through, those named like the
     results are replaced; an empty table gives an empty one. No shuffle.
@@ -206,21 +208,23 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", digests: bool =
 
     def make():
         codec = load_codec(path)
+        value = {
+            "ids": lambda raw, d: raw, "decoded": lambda raw, d: d.decode("utf-8", "replace"),
+            "ids_sha256": lambda raw, d: hashlib.sha256(raw).hexdigest(), "decoded_sha256": lambda raw, d: hashlib.sha256(d).hexdigest()}
 
         def each(batch: pa.Array) -> pa.Array:
-            n, ids, texts = [], [], []
+            n, columns = [], [[] for _ in results]
             for t in utf8(batch):
-                e = codec.encode(t)
-                d, raw = codec.decode(e), e.tobytes()
-                n.append(len(e))
-                ids.append(hashlib.sha256(raw).hexdigest() if digests else raw)
-                texts.append(hashlib.sha256(d).hexdigest() if digests else d.decode("utf-8", "replace"))
-            kinds = pa.string() if digests else pa.binary()
-            return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, kinds), pa.array(texts, pa.string())], ["n_tokens", *names])
+                ids = codec.encode(t)
+                decoded = codec.decode(ids) if any("decoded" in r for r in results) else b""
+                raw = ids.tobytes()
+                n.append(len(ids))
+                for column, r in zip(columns, results):
+                    column.append(value[r](raw, decoded))
+            return pa.StructArray.from_arrays([pa.array(n, pa.int64()), *[pa.array(c, RESULTS[r]) for c, r in zip(columns, results)]], ["n_tokens", *results])
 
         return each
 
-    names = ["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
-    kind = f"struct<n_tokens:bigint,{names[0]}:{'string' if digests else 'binary'},{names[1]}:string>"
+    kind = "struct<n_tokens:bigint," + ",".join(f"{r}:{RESULTS[r]}" for r in results) + ">"
     coded = F.arrow_udf(by_batch(make), kind, F.ArrowUDFType.SCALAR_ITER)
-    return with_fields(df, coded(F.col(text)), ["n_tokens", *names])
+    return with_fields(df, coded(F.col(text)), ["n_tokens", *results])

@@ -9,19 +9,17 @@ that rule strictly. A document that fails no rule is kept on any host.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import bound_batches, by_batch, fresh, utf8, with_fields, words
+from marketlake.llm.text import SPACED, batch_bytes, bound_batches, by_batch, fresh, gram_codes, scan_places, utf8, with_fields
 from marketlake.operators.common import join_per_key
 from marketlake.session import cut_lineage
 
-SYMBOLS = [c.encode() for c in "#*$%&|<>"]
-SPACES = [bytes([c]) for c in (32, 9, 10, 11, 12, 13)]
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_shouted", "n_marked"]
 
 
@@ -42,36 +40,56 @@ class Rules:
     host_documents: int = 20  # hosts of fewer documents get no verdict of their own
 
 
-def repeated_words(ws: list[bytes]) -> int:
+def repeated_words(codes: np.ndarray) -> int:
     """Words that lie in a 3-word window found at least twice, the first one included."""
-    grams = list(zip(ws, ws[1:], ws[2:], strict=False))
-    if len(set(grams)) == len(grams):
+    grams = gram_codes(codes, 3)
+    _, kind, count = np.unique(grams, return_inverse=True, return_counts=True)
+    if len(count) == len(grams):
         return 0
-    count = Counter(grams)
-    covered, upto = 0, 0  # words before ``upto`` are counted
-    for i, g in enumerate(grams):
-        if count[g] > 1:
-            covered += i + 3 - max(i, upto)
-            upto = i + 3
-    return covered
+    covered = np.zeros(len(codes), bool)
+    again = np.flatnonzero(count[kind] > 1)
+    for j in range(3):
+        covered[again + j] = True
+    return int(covered.sum())
 
 
-def measure(text: bytes) -> tuple[int, ...]:
-    ws = words(text)
-    if not ws:
-        return (0,) * len(METRICS)
-    chars = len(text.decode("utf-8", "replace")) - sum(map(text.count, SPACES))
-    lines = [x for x in text.split(b"\n") if x.strip(b" \t\r\x0b\x0c")]
-    shouted = marked = 0
-    symbols = sum(map(text.count, SYMBOLS))
-    if symbols:
-        marked = sum(1 for w in ws if w.strip(b"#*$%&|<>") == b"" or w[-2:] in MARKS)
-    if not text.islower():
-        shouted = sum(1 for w in ws if w.endswith(b"!!") or len(w) > 1 and w.isupper())
-    return len(ws), chars, symbols, len(lines) - len(set(lines)), repeated_words(ws), len(lines), shouted, marked
+def _flags(characters: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(characters.encode())] = True
+    return out
 
 
-MARKS = {c * 2 for c in SYMBOLS}
+SYMBOL, UPPER, LOWER = _flags("#*$%&|<>"), _flags("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _flags("abcdefghijklmnopqrstuvwxyz")
+
+
+def measure(texts: pa.Array) -> list[np.ndarray]:
+    """The METRICS of a batch of texts. A word is shouted if its ASCII letters are all capitals
+    (and it is longer than one byte) or it ends in two exclamation marks; it is marked if it consists of
+    symbols or ends in the same symbol twice."""
+    data, at = batch_bytes(texts)
+    codes, begin, start, stop = scan_places(data, at, SPACED)
+
+    def upto(flag: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(1, np.int64), np.cumsum(flag)])
+
+    def per_text(flag: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        return np.diff(upto(flag)[bounds])
+
+    symbols, upper, lower = upto(SYMBOL[data]), upto(UPPER[data]), upto(LOWER[data])
+    size = stop - start
+    last, before = data[stop - 1], data[np.maximum(stop - 2, 0)]
+    twice = (last == before) & (size > 1)
+    within = (lambda sums: sums[stop] - sums[start])
+    shouted = (size > 1) & (within(upper) > 0) & (within(lower) == 0) | twice & (last == ord("!"))
+    marked = (within(symbols) == size) | twice & SYMBOL[last]
+    points = per_text(((data & 0xC0) != 0x80) & (SPACED[data] != 0), at)
+    lines, dups = [], []
+    for t in utf8(texts):
+        own = [x for x in t.split(b"\n") if x.strip(b" \t\r\x0b\x0c")]
+        lines.append(len(own))
+        dups.append(len(own) - len(set(own)))
+    repeats = [repeated_words(codes[a:b]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
+    return [np.diff(begin), points, np.diff(symbols[at]), np.array(dups, np.int64), np.array(repeats, np.int64), np.array(lines, np.int64), per_text(shouted, begin), per_text(marked, begin)]
 
 
 def document_metrics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -80,8 +98,7 @@ def document_metrics(df: DataFrame, text: str = "text") -> DataFrame:
 
     def make():
         def each(batch: pa.Array) -> pa.Array:
-            rows = [measure(t) for t in utf8(batch)]
-            return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(METRICS))], METRICS)
+            return pa.StructArray.from_arrays([pa.array(m, pa.int64()) for m in measure(batch)], METRICS)
 
         return each
 

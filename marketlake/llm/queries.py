@@ -46,7 +46,7 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from marketlake.llm.bpe_codec import encode_decode
 
-    return encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), digests=True).drop("text")
+    return encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), results=("ids_sha256", "decoded_sha256")).drop("text")
 
 
 @query
@@ -86,3 +86,17 @@ def op6_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm.substring import remove_repeats
 
     return remove_repeats(documents(spark, sf_dir), digests=True).drop("text")
+
+
+@query
+def op1_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.weak_quality import classify
+
+    return classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).drop("text")
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.decontam import benchmark_overlaps
+
+    return benchmark_overlaps(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))

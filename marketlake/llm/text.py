@@ -62,11 +62,6 @@ def by_batch(make: Callable[[], Callable[[pa.Array], pa.Array]]) -> Callable[[It
     return run
 
 
-def words(text: bytes) -> list[bytes]:
-    """Runs of ``[^\\x20\\x09-\\x0D]``: bytes.split() parts at exactly these six bytes."""
-    return text.split()
-
-
 class Memo(dict):
     """A memo of ``fn`` with a bounded number of entries; long keys are not kept."""
 
@@ -159,12 +154,24 @@ def scan_words(texts: pa.Array, table: np.ndarray = SPACED) -> tuple[np.ndarray,
     no word goes over. A code is a polynomial of the word's bytes, mixed with its
     length; it is the same in every task. Nulls have no words.
     """
+    codes, begin, _, _ = scan_places(*batch_bytes(texts), table)
+    return codes, begin
+
+
+def batch_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a batch of texts, and where each text begins (one more at the end)."""
     texts = texts.cast(pa.large_binary())
     _, offsets, buffer = texts.buffers()
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     at = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
-    data = np.frombuffer(buffer, np.uint8)[at[0] : at[-1]] if buffer is not None and len(texts) and at[-1] > at[0] else np.zeros(0, np.uint8)
-    at = at - at[0]
-    codes, starts, begin = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    data = np.frombuffer(buffer, np.uint8)[at[0] : at[-1]] if buffer is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
+    return data, at - at[0]
+
+
+def scan_places(data: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, each text's first word, first byte of each word, byte after it)."""
+    codes, starts, stops, begin = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     while begin < len(data):
         end, step = len(data), SCAN_BYTES
         while begin + step < len(data):
@@ -179,9 +186,10 @@ def scan_words(texts: pa.Array, table: np.ndarray = SPACED) -> tuple[np.ndarray,
                 break
             step *= 2  # one word is longer than all this
         firsts = at[(at >= begin) & (at < end)] - begin
-        c, s, _ = _scan_part(data[begin:end], firsts, table)
+        c, s, e = _scan_part(data[begin:end], firsts, table)
         codes.append(c)
         starts.append(s + begin)
+        stops.append(e + begin)
         begin = end
     place = np.concatenate(starts)
-    return np.concatenate(codes), np.searchsorted(place, at, "left")
+    return np.concatenate(codes), np.searchsorted(place, at, "left"), place, np.concatenate(stops)

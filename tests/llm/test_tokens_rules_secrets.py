@@ -7,6 +7,7 @@ import struct
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -16,6 +17,7 @@ from marketlake.llm import queries
 from marketlake.llm.bpe_codec import encode_decode
 from marketlake.llm.host_rules import Rules, judge, repeated_words
 from marketlake.llm.secrets import battery, find_secrets, smallest_bins
+from marketlake.llm.text import scan_words
 from marketlake.llm.token_counts import MergeCounter, token_counts
 
 PIECE, WORD = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -56,7 +58,7 @@ def test_codec_equals_the_library(spark):
     texts = [*random_texts(800, 9), *ODD, None, "same", "same"]
     lib = tokenizers.Tokenizer.from_file(WORD)
     rows = {r.doc_id: r for r in encode_decode(frame(spark, texts), WORD).collect()}
-    digests = {r.doc_id: r for r in encode_decode(frame(spark, texts), WORD, digests=True).collect()}
+    digests = {r.doc_id: r for r in encode_decode(frame(spark, texts), WORD, results=("ids_sha256", "decoded_sha256")).collect()}
     for i, t in enumerate(texts):
         ids = lib.encode(t or "", add_special_tokens=False).ids
         raw, text = struct.pack(f"<{len(ids)}I", *ids), lib.decode(ids, skip_special_tokens=False)
@@ -107,9 +109,8 @@ def test_base_metrics_by_brute_force(spark):
 
 
 def test_repeated_words_overlap():
-    assert repeated_words(b"x x x x".split()) == 4
-    assert repeated_words(b"a b c d a b c".split()) == 6
-    assert repeated_words(b"a b".split()) == 0
+    count = lambda t: repeated_words(scan_words(pa.array([t]))[0])
+    assert (count("x x x x"), count("a b c d a b c"), count("a b"), count("")) == (4, 6, 0, 0)
 
 
 def test_a_bad_host_holds_its_documents_strictly_and_spares_clean_ones(spark):
