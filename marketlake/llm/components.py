@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.session import cut_lineage
+from marketlake.llm.text import written
 
 
 def _point(edges: DataFrame, smallest: DataFrame) -> DataFrame:
-    # Both sides are read from the checkpoint folder, so both are shuffled for the join and a
+    # Both sides are read from written tables, so both are shuffled for the join and a
     # hub's edges can be split over tasks (adaptive skew join).
-    return edges.join(cut_lineage(smallest), "u")
+    return edges.join(written(smallest), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,17 +34,17 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): for every node of an edge, the smallest node it reaches.
 
     Nodes are of any ordered type; loops and null ends are left out; repeated
-    edges and either direction are fine. Each step is written to the checkpoint
+    edges and either direction are fine. Each step is written to the scratch
     folder, so the plan stays short and a lost executor costs one step. Every
     node ends with one edge, to its component; nothing is collected but a count
     and a checksum per round.
     """
     now = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    now = cut_lineage(now.distinct())
+    now = written(now.distinct())
     state = None
     while (seen := _state(now)) != state:
         state = seen
-        now = cut_lineage(_small_star(cut_lineage(_large_star(now).distinct())).distinct())
+        now = written(_small_star(written(_large_star(now).distinct())).distinct())
     pointed = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return pointed.unionByName(roots)

@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.components import components
-from marketlake.llm.text import SPACED_LOWER, bound_batches, gram_codes, mix, odd_numbers, scan_words
+from marketlake.llm.text import SPACED_LOWER, bound_batches, gram_codes, mix, odd_numbers, scan_words, written
 from marketlake.operators.common import join_per_key
-from marketlake.session import cut_lineage, scratch_path
+from marketlake.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, like: Similar, doc_id:
     total = clusters.agg(F.sum("n_shingles")).first()[0] or 0
     lots = max(1, total // TASK_SHINGLES)
     # The share of a cluster in its members' rows is unbounded, so the weights join as a written table.
-    placed = clusters.join(cut_lineage(weight), "cluster").select(
+    placed = clusters.join(written(weight), "cluster").select(
         F.col("node").alias(doc_id), "cluster", "blocks", F.pmod(F.xxhash64("cluster"), F.lit(lots)).alias("lot"))
     members = join_per_key(docs.select(doc_id, text), placed, doc_id, "inner")
     sets = members.select(doc_id, text, "cluster", "blocks", "lot").mapInArrow(collect, f"doc {kind}, cluster {kind}, blocks int, lot bigint, shingles array<bigint>")
@@ -177,20 +177,20 @@ def near_duplicates(docs: DataFrame, like: Similar = Similar(), doc_id: str = "d
     signed = spark.read.parquet(path)
     linked = signed.where("doc_id is not null and n_shingles > 0")
     same = ["s1", "s2", "n_shingles"]
-    classes = cut_lineage(linked.groupBy(*same).agg(F.min("doc_id").alias("rep")))
+    classes = written(linked.groupBy(*same).agg(F.min("doc_id").alias("rep")))
     member = linked.select("doc_id", *same).join(classes, same).select("doc_id", "rep", "n_shingles")
-    member = cut_lineage(member)
+    member = written(member)
 
     keyed = linked.join(classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
-    buckets = cut_lineage(keyed.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first <> last").select("key", "first"))
+    buckets = written(keyed.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first <> last").select("key", "first"))
     starred = keyed.join(buckets, "key").where("rep <> first").select("first", "rep").distinct()
     clusters = components(starred, "first", "rep").select("node", F.col("component").alias("cluster"))
-    sized = cut_lineage(clusters.join(member.where("doc_id = rep").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")).withColumnRenamed("doc_id", "node"), "node"))
+    sized = written(clusters.join(member.where("doc_id = rep").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")).withColumnRenamed("doc_id", "node"), "node"))
     links = confirmed_links(docs.where(F.col(doc_id).isNotNull()), sized, like, doc_id, text)
     # Rows of one id are one node; so are the classes that they belong to.
     repeated = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
     grouped = components(links.unionByName(repeated), "a", "b")
-    rep = cut_lineage(member.groupBy("doc_id").agg(F.min("rep").alias("rep")))
+    rep = written(member.groupBy("doc_id").agg(F.min("rep").alias("rep")))
     component = rep.join(grouped.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     found = signed.select("doc_id", "n_shingles").join(component, "doc_id", "left")
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))

@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.session import scratch_path
+
 # Python workers hold one Arrow batch at a time: at most this many rows and bytes.
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
@@ -29,6 +31,17 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written once to the shared scratch folder and read from there.
+
+    Cuts lineage like checkpoint(), in a compact form, and leaves no constraints of
+    the plan behind, which grow with every round of a loop.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(name: str) -> str:
     """A column name that no caller's table has."""
     return f"__{name}_{uuid.uuid4().hex[:8]}"
