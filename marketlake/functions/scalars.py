@@ -111,6 +111,11 @@ def object_path(prefix: str, c: ColumnOrName, suffix: str = ".csv") -> Column:
     return F.concat(F.lit(prefix), _c(c).cast("string"), F.lit(suffix))
 
 
+def unescape_path_name(c: ColumnOrName) -> Column:
+    """A partition directory's value as it was written: ``%5EGSPC`` -> ``^GSPC`` (a plus sign stays)."""
+    return F.try_url_decode(F.replace(_c(c), F.lit("+"), F.lit("%2B")))
+
+
 def key_from_path(c: ColumnOrName, suffix: str = ".csv") -> Column:
     """Object name -> key: the last segment without ``suffix``; NULL when the suffix differs.
 
@@ -122,7 +127,7 @@ def key_from_path(c: ColumnOrName, suffix: str = ".csv") -> Column:
     path = _c(c)
     hive = F.regexp_extract(path, r"/[^/=]+=([^/]+)/[^/]*" + re.escape(suffix) + "$", 1)
     flat = F.regexp_extract(path, r"([^/]+)" + re.escape(suffix) + "$", 1)
-    key = F.when(hive != "", hive).otherwise(flat)
+    key = F.when(hive != "", unescape_path_name(hive)).otherwise(flat)
     return F.when(path.endswith(suffix), key)
 
 

@@ -98,11 +98,16 @@ def pivot_composite(
 ) -> DataFrame:
     """Pivot on a multi-column key; rows with any NULL key part are dropped.
 
-    Output columns are named ``part1<sep>part2<sep>...``.
+    Output columns are named ``part1<sep>part2<sep>...``; a separator or backslash inside a
+    part is written with a backslash before it, so different keys never share a column.
     """
     keys = list(keys)
-    base = df.where(_all_not_null(keys)).withColumn("__pivot_key", F.concat_ws(sep, *[F.col(k) for k in keys]))
-    flat = None if values is None else [sep.join(str(p) for p in v) for v in values]
+
+    def part(k: str):
+        return F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(sep), F.lit("\\" + sep))
+
+    base = df.where(_all_not_null(keys)).withColumn("__pivot_key", F.concat_ws(sep, *[part(k) for k in keys]))
+    flat = None if values is None else [sep.join(str(p).replace("\\", "\\\\").replace(sep, "\\" + sep) for p in v) for v in values]
     return pivot_first(base, index, "__pivot_key", value, order, flat)
 
 

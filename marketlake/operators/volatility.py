@@ -68,6 +68,7 @@ def high_volatility(
     """
     return (
         with_change(series, key, date, price, tie)
-        .where(F.col("prev_price").isNotNull() & (F.abs(F.col("change")) >= F.lit(float(threshold_pct))))
+        # NaN compares above every number in Spark, but is no change.
+        .where(F.col("prev_price").isNotNull() & ~F.isnan(F.col("change").cast("double")) & (F.abs(F.col("change")) >= F.lit(float(threshold_pct))))
         .select(key, date, price, "prev_price", "change")
     )

@@ -24,6 +24,7 @@ from marketlake.sinks.files import write_csv, write_manifest, write_parquet
 from marketlake.sinks.jdbc import replicate_tables, write_jdbc
 from marketlake.sinks.tables import append_rows, replace_table, truncate_reload
 from marketlake.sources.files import delete_path, drop_row_index, read_csv, read_manifest
+from marketlake.session import cut_lineage
 from marketlake.sources.warehouse import list_tables
 
 
@@ -101,7 +102,8 @@ def history_refresh_job(
     spark = listing.sparkSession
     # The listing is materialised and counted once; the name join broadcasts
     # it after that size check (or splits hot codes beyond the bound).
-    top, rows = materialize_per_key(listing.select("code", "name").distinct())
+    # A code listed under several names keeps the smallest, so no price row is doubled.
+    top, rows = materialize_per_key(listing.groupBy("code").agg(F.min("name").alias("name")))
     codes = top.select("code")
     # Only the listed codes' rows matter: a short list is a literal IN filter
     # on both scans (pruned code partitions, pushed-down Parquet filter).
@@ -110,10 +112,17 @@ def history_refresh_job(
     candidates = join_materialized(filter_by_keys(prices, codes, "code"), top, rows, "code", "inner")
     if start is not None:
         candidates = candidates.where(F.col("date") >= F.lit(start).cast("date"))
-    rows = incremental_rows(stored_top, candidates)
+    # The new codes and the increment are fixed before the append changes the stored history. The
+    # manifest goes first: a crash in between leaves the codes new for the next run. Codes
+    # of a manifest that was not loaded yet stay listed.
+    rows = cut_lineage(incremental_rows(stored_top, candidates))
+    listed = new.select(F.col("code").cast("string").alias("code"))
+    pending = read_manifest(spark, manifest_path)
+    if pending is not None:
+        listed = listed.unionByName(pending.select("code")).distinct()
+    write_manifest(cut_lineage(listed), manifest_path)
     if not rows.isEmpty():
         append_rows(rows, history_table)
-    write_manifest(new.select(F.col("code").cast("string").alias("code")), manifest_path)
     return spark.table(history_table)
 
 
@@ -247,8 +256,11 @@ def retention_job(history_table: str, keep: DataFrame, root: str, key: str = "co
 
     The survivors are published as the table's new version in one pass: the
     history is semi-joined with the (bounded, broadcast) list of listed codes.
+    An empty list is taken for a failed listing: the history stays as it is.
     """
     spark = keep.sparkSession
+    if keep.isEmpty():
+        return spark.table(history_table)
     survivors, _ = retention_split(spark.table(history_table), keep, key)
     return replace_table(survivors, history_table, root)
 

@@ -80,11 +80,16 @@ def gdp(long: DataFrame, country_col: str = "country") -> DataFrame:
 
 
 def country_from_file(long: DataFrame, countries=GDP_COUNTRIES, file_col: str = "source_file") -> DataFrame:
-    """Country of each GDP row from its response file name (``.../<CODE>.json``)."""
+    """Country of each GDP row from its response file name (``.../<CODE>.json`` or ``.../<country>.json``).
+
+    A file of any other name is an error: its rows would be lost in the sum.
+    """
     code = F.regexp_extract(F.col(file_col), r"([^/.]+)\.[^/]*$", 1)
-    names = {v: k for k, v in countries.items()}
+    names = {v: k for k, v in countries.items()} | {k: k for k in countries}
     pairs = [x for kv in names.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]
-    return long.withColumn("country", F.try_element_at(F.create_map(*pairs), code))
+    found = F.try_element_at(F.create_map(*pairs), code)
+    unknown = F.raise_error(F.concat(F.lit("no country is known for the file "), F.coalesce(F.col(file_col), F.lit("NULL"))))
+    return long.withColumn("country", F.coalesce(found, unknown.cast("string")))
 
 
 def financial_statements(long: DataFrame, order: Sequence[str] = DEFAULT_ORDER,

@@ -61,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # No cluster-wide setting: this is a local run or a test.
         configured = tempfile.mkdtemp(prefix="marketlake-ckpt-")
     sc.setCheckpointDir(configured)

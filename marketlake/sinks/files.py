@@ -7,9 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.functions.scalars import unescape_path_name
+
 CSV_WRITE_OPTIONS = {"escape": '"'}
 
 
+NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -200,7 +205,7 @@ def compact_per_key(spark: SparkSession, path: str, schema, key: str = "code", f
 
     suffix = {"parquet": ".parquet", "orc": ".orc", "csv": ".csv"}.get(fmt)
     files = list_objects(spark, path, None).select(
-        F.regexp_extract("path", rf"/{key}=([^/]+)/[^/]*$", 1).alias(key), "path").where(F.col(key) != "")
+        unescape_path_name(F.regexp_extract("path", rf"/{key}=([^/]+)/[^/]*$", 1)).alias(key), "path").where(F.col(key) != "")
     if suffix:
         files = files.where(F.col("path").endswith(suffix))
     busy = [r[key] for r in files.groupBy(key).count().where(F.col("count") >= min_files).collect()]
@@ -222,10 +227,16 @@ def drop_key_dirs(spark: SparkSession, path: str, keep: DataFrame, key: str = "c
     """
     from marketlake.sources.files import delete_path, list_objects
 
+    if keep.isEmpty():
+        raise ValueError("the keep list is empty; nothing is deleted")
+    # Directory names are escaped (``^`` is ``%5E``): compared decoded, deleted as they are. The
+    # directory of NULL keys is not a code and stays.
     listing = list_objects(spark, path, None).select(
-        F.regexp_extract("path", rf"/{key}=([^/]+)/[^/]*$", 1).alias(key)).where(F.col(key) != "").distinct()
+        F.regexp_extract("path", rf"/{key}=([^/]+)/[^/]*$", 1).alias("__dir")).where(
+        ~F.col("__dir").isin("", NULL_DIR)).distinct().withColumn(key, unescape_path_name("__dir"))
     leaving = listing.join(keep.select(F.col(key).cast("string").alias(key)).distinct(), key, "left_anti")
-    gone = sorted(r[key] for r in leaving.collect())
-    for code in gone:
-        delete_path(spark, f"{path.rstrip('/')}/{key}={code}")
-    return gone
+    gone = []
+    for row in leaving.select("__dir", key).toLocalIterator():
+        delete_path(spark, f"{path.rstrip('/')}/{key}={row['__dir']}")
+        gone.append(row[key])
+    return sorted(gone)

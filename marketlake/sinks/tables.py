@@ -60,6 +60,22 @@ def align_to(df: DataFrame, target: StructType, by_position: bool = False) -> Da
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
 
 
+def add_new_columns(df: DataFrame, name: str) -> None:
+    """Columns of ``df`` that the table lacks are added to it (a reload never drops a column of its input)."""
+    spark = df.sparkSession
+    known = {c.lower() for c in spark.table(name).columns}
+    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+
+
+def with_table_columns(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a NULL column for every column of the table that it lacks (an item that vanished)."""
+    known = {c.lower() for c in df.columns}
+    gone = [f for f in df.sparkSession.table(name).schema.fields if f.name.lower() not in known]
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in gone])
+
+
 def replace_table(
     df: DataFrame,
     name: str,
@@ -77,13 +93,15 @@ def replace_table(
     """
     spark = df.sparkSession
     if table_exists(spark, name):
-        df = align_to(df, spark.table(name).schema)
+        new = [f for f in df.schema.fields if f.name.lower() not in {c.lower() for c in spark.table(name).columns}]
+        df = align_to(df, StructType([*spark.table(name).schema.fields, *new]))
     loc = _version_path(root, name)
     df.write.format(fmt).mode("errorifexists").save(loc)
     staged = spark.read.format(fmt).load(loc)
     if verify is not None and not verify(staged):
         raise RuntimeError(f"verification of the new version of {name} failed; {name} unchanged")
     if table_exists(spark, name):
+        add_new_columns(staged, name)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{loc}'")
         spark.sql(f"REFRESH TABLE {name}")
     else:
@@ -91,11 +109,19 @@ def replace_table(
     return spark.table(name)
 
 
-def truncate_reload(df: DataFrame, name: str, root: str, by_position: bool = False, fmt: str = "parquet") -> DataFrame:
-    """K7: replace the table with ``df`` (idempotent: loading twice = once; errors raise)."""
+def truncate_reload(df: DataFrame, name: str, root: str, by_position: bool = False, fmt: str = "parquet",
+                    evolve: bool = False) -> DataFrame:
+    """K7: replace the table with ``df`` (idempotent: loading twice = once; errors raise).
+
+    A column that the table lacks is added to it. A column of the table that ``df``
+    lacks raises, or with ``evolve`` (pivots whose columns come from the data) becomes NULL.
+    """
     spark = df.sparkSession
     if table_exists(spark, name):
-        df = align_to(df, spark.table(name).schema, by_position)
+        if by_position:
+            df = align_to(df, spark.table(name).schema, by_position)
+        elif evolve:
+            df = with_table_columns(df, name)
     return replace_table(df, name, root, fmt)
 
 

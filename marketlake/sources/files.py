@@ -58,6 +58,9 @@ def read_parts(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet",
     Parts written with different column orders are matched by name for
     self-describing formats; CSV parts need ``schema``.
     """
+    if fmt == "csv":
+        # The header is held against the schema: parts in another column order raise instead of swapping values.
+        options = {"header": True, "enforceSchema": False} | options
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)

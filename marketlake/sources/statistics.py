@@ -31,7 +31,8 @@ def parse_statistics(
     ``with_position`` adds the record's 0-based position in its document, the
     natural "input order" for pivot-first.
     """
-    parsed = F.from_json(F.col(doc_col), envelope_schema(row_schema, root))
+    # Text that is not JSON raises (a truncated download); JSON without the envelope has no rows.
+    parsed = F.from_json(F.col(doc_col), envelope_schema(row_schema, root), {"mode": "FAILFAST"})
     rows = F.col("__env").getField(root).getField("row")
     if strict:
         rows = F.when(rows.isNull(), F.raise_error(F.lit(f"response without {root}.row"))).otherwise(rows)

@@ -10,12 +10,16 @@ like a batch job. Never a query that keeps running.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marketlake.operators.history import incremental_rows
-from marketlake.sources.files import CSV_READ_OPTIONS
+from marketlake.operators.common import filter_by_keys, join_per_key
+from marketlake.operators.history import incremental_rows, latest_date
+from marketlake.session import cut_lineage
+from marketlake.sources.files import CSV_READ_OPTIONS, delete_path, path_exists
 from marketlake.sinks.tables import append_rows
 
 
@@ -73,15 +77,28 @@ def ingest_new_files(
         raise RuntimeError(str(q.exception()))
 
 
-def upsert_batch(batch: DataFrame, table: str, key: str = "code", date: str = "date") -> bool:
-    """Append the rows of ``batch`` that are newer than ``table``'s last day per code.
+def upsert_batch(batch: DataFrame, table: str, key: str = "code", date: str = "date", last: DataFrame | None = None) -> bool:
+    """Append the rows of ``batch`` that are newer than the last day of their code and not stored yet.
+
+    ``last`` (key, __last): the last days from before the run, so that the batches of one run do not
+    shut each other's rows out; without it, ``table``'s own. Only the batch's codes are looked up in the table.
 
     Identical rows inside the batch (the same record delivered by two
     overlapping files) are kept once. Applying the same batch twice appends
     nothing the second time. Returns whether rows were appended.
     """
     stored = batch.sparkSession.table(table)
-    delta = incremental_rows(stored, batch.dropDuplicates(), key, date)
+    rows = cut_lineage(batch.dropDuplicates())
+    stored = filter_by_keys(stored, rows.select(key), key)
+    if last is None:
+        delta = incremental_rows(stored, rows, key, date)
+    else:
+        known = join_per_key(rows, last, key, "left")
+        newer = known.where(F.col("__last").isNull() | (F.col(date) > F.col("__last"))).drop("__last")
+        had = stored.select([F.col(c).alias(f"__s_{c}") for c in rows.columns])
+        same = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in rows.columns]
+        delta = newer.join(had, reduce(lambda a, b: a & b, same), "left_anti")
+    delta = cut_lineage(delta)
     if delta.isEmpty():
         return False
     append_rows(delta, table)
@@ -107,8 +124,14 @@ def upsert_new_files(
     idempotent even though ``foreachBatch`` is at-least-once.
     """
 
+    # The last days from before the run. They are kept beside the checkpoint until the run ends, so a run
+    # that crashed goes on with the ones it began with, and the size of the micro-batches changes nothing.
+    before = f"{checkpoint_dir.rstrip('/')}-last-days"
+    if not path_exists(spark, f"{before}/_SUCCESS"):
+        latest_date(spark.table(table), key, date, "__last").write.mode("overwrite").parquet(before)
+
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        upsert_batch(batch, table, key, date)
+        upsert_batch(batch, table, key, date, batch.sparkSession.read.parquet(before))
 
     q = (
         file_stream(spark, source_dir, schema, fmt, **source_options)
@@ -120,5 +143,6 @@ def upsert_new_files(
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    delete_path(spark, before)
     # Batches run in a cloned session; drop this session's cached file listing.
     spark.catalog.refreshTable(table)

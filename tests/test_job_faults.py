@@ -1,0 +1,132 @@
+"""Jobs on inputs that once lost or destroyed data."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.functions.scalars import key_from_path
+from marketlake.operators.reshape import pivot_composite
+from marketlake.plans import jobs
+from marketlake.plans.series import country_from_file
+from marketlake.session import checkpoint_root
+from marketlake.sinks.files import drop_key_dirs, write_per_key
+from marketlake.sinks.tables import create_if_absent, truncate_reload
+from marketlake.sources.files import read_manifest, read_parts
+from marketlake.sources.statistics import parse_statistics
+from marketlake.streaming.files import upsert_new_files
+
+D = dt.date
+
+
+def test_refresh_lists_new_codes_until_they_are_loaded(spark, scratch):
+    schema = "code string, date date, price double, row_key long, name string"
+    create_if_absent(spark, "faults_history", spark.createDataFrame([], schema).schema, scratch("h"))
+    manifest = scratch("m") + "/new.csv"
+    prices = spark.createDataFrame([("A", D(2024, 1, 2), 1.0, 1), ("B", D(2024, 1, 2), 2.0, 2)], "code string, date date, price double, row_key long")
+    first = spark.createDataFrame([("A", "one"), ("A", "another")], "code string, name string")
+    jobs.history_refresh_job(first, prices, "faults_history", manifest)
+    assert [r.code for r in read_manifest(spark, manifest).collect()] == ["A"]
+    both = spark.createDataFrame([("A", "one"), ("B", "two")], "code string, name string")
+    jobs.history_refresh_job(both, prices, "faults_history", manifest)
+    assert sorted(r.code for r in read_manifest(spark, manifest).collect()) == ["A", "B"]
+    assert spark.table("faults_history").count() == 2  # a code of two names is stored once
+    loaded = create_if_absent(spark, "faults_loaded", spark.table("faults_history").schema, scratch("l"))
+    assert jobs.load_listed_codes(spark, manifest, spark.table("faults_history"), "faults_loaded")
+    assert loaded.sparkSession.table("faults_loaded").count() == 2
+
+
+@pytest.mark.parametrize("cap", [None, 1, 2])
+def test_stream_rows_do_not_hang_on_the_batch_size(spark, scratch, cap):
+    name = f"faults_stream_{cap or 0}"
+    schema = spark.createDataFrame([], "code string, date date, price double").schema
+    create_if_absent(spark, name, schema, scratch("t"))
+    landing = scratch("in")
+    for i, (day, price) in enumerate([(5, 1.0), (3, 2.0), (4, 3.0), (5, 4.0)]):
+        spark.createDataFrame([("A", D(2024, 1, day), price)], schema).coalesce(1).write.mode("append").parquet(f"{landing}/{i}")
+    checkpoint = scratch("c")
+    for _ in range(2):
+        upsert_new_files(spark, landing, schema, name, checkpoint, max_files_per_trigger=cap)
+    assert sorted((r.date.day, r.price) for r in spark.table(name).collect()) == [(3, 2.0), (4, 3.0), (5, 1.0), (5, 4.0)]
+
+
+def test_reload_keeps_new_columns(spark, scratch):
+    root = scratch("r")
+    truncate_reload(spark.createDataFrame([("1", 1.0)], "TIME string, x double"), "faults_reload", root)
+    out = truncate_reload(spark.createDataFrame([("2", 2.0, 3.0)], "TIME string, x double, y double"), "faults_reload", root)
+    assert [tuple(r) for r in out.collect()] == [("2", 2.0, 3.0)]
+    fewer = spark.createDataFrame([("3", 5.0)], "TIME string, y double")
+    with pytest.raises(ValueError):
+        truncate_reload(fewer, "faults_reload", root)
+    out = truncate_reload(fewer, "faults_reload", root, evolve=True)
+    assert [(r.TIME, r.x, r.y) for r in out.collect()] == [("3", None, 5.0)]
+
+
+def test_deletes_spare_listed_codes_with_escaped_names(spark, scratch):
+    path = scratch("k")
+    rows = spark.createDataFrame([("^GSPC", 1), ("A:B", 2), ("gone", 3), (None, 4)], "code string, v int")
+    write_per_key(rows, path)
+    keep = spark.createDataFrame([("^GSPC",), ("A:B",)], "code string")
+    with pytest.raises(ValueError):
+        drop_key_dirs(spark, path, keep.where("false"))
+    assert drop_key_dirs(spark, path, keep) == ["gone"]
+    assert sorted(r.v for r in spark.read.option("header", True).schema("v int, code string").csv(path).collect()) == [1, 2, 4]
+    names = spark.createDataFrame([("p/code=%5EGSPC/a.csv",), ("p/code=A+B/a.csv",)], "path string")
+    assert [r[0] for r in names.select(key_from_path("path")).collect()] == ["^GSPC", "A+B"]
+
+
+def test_retention_ignores_an_empty_listing(spark, scratch):
+    truncate_reload(spark.createDataFrame([("A", 1)], "code string, v int"), "faults_keep", scratch("e"))
+    assert jobs.retention_job("faults_keep", spark.createDataFrame([], "code string"), scratch("e2")).count() == 1
+
+
+def test_country_by_code_or_name_and_never_lost(spark):
+    files = (lambda *names: country_from_file(spark.createDataFrame([(f"x/{n}.json",) for n in names], "source_file string")))
+    assert {r.country for r in files("KOR", "Korea").collect()} == {"Korea"}
+    with pytest.raises(Exception, match="no country"):
+        files("Atlantis").collect()
+
+
+def test_truncated_json_raises(spark):
+    docs = (lambda t: parse_statistics(spark.createDataFrame([(t,)], "doc string"), "doc"))
+    assert docs("{}").count() == 0
+    with pytest.raises(Exception):
+        docs('{"StatisticSearch": {"row": [{"TIME": "2024"').collect()
+
+
+def test_composite_keys_never_collide(spark):
+    rows = spark.createDataFrame([("t", "a|b", "c", 1.0, 1), ("t", "a", "b|c", 2.0, 2)], "TIME string, k1 string, k2 string, v double, o int")
+    out = pivot_composite(rows, "TIME", ["k1", "k2"], "v", "o")
+    assert len(out.columns) == 3 and sorted(v for v in out.drop("TIME").first()) == [1.0, 2.0]
+
+
+def test_csv_parts_of_another_column_order_raise(spark, scratch):
+    path = scratch("p")
+    spark.createDataFrame([("2", "1")], "b string, a string").coalesce(1).write.option("header", True).csv(path)
+    with pytest.raises(Exception):
+        read_parts(spark, [path], "csv", spark.createDataFrame([], "a string, b string").schema).collect()
+
+
+def test_checkpoint_folder_must_be_named_off_local():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Session())
+
+
+def test_nan_prices_are_no_volatile_days(spark):
+    from marketlake.operators.volatility import high_volatility
+
+    rows = spark.createDataFrame([("A", D(2024, 1, 1), 1.0), ("A", D(2024, 1, 2), float("nan")), ("A", D(2024, 1, 3), 2.0)], "code string, date date, price double")
+    assert high_volatility(rows).where(F.isnan("price")).count() == 0
