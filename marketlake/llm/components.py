@@ -5,46 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import written
+from marketlake.llm.text import Scratch, remove, written
+from marketlake.session import scratch_path
 
 
-def _point(edges: DataFrame, smallest: DataFrame) -> DataFrame:
-    # Both sides are read from written tables, so both are shuffled for the join and a
-    # hub's edges can be split over tasks (adaptive skew join).
-    return edges.join(written(smallest), "u")
+def _are_stars(edges: DataFrame, nearest: DataFrame) -> bool:
+    """Whether every edge (u, v) leads to the smallest neighbour of u, which has no smaller one itself."""
+    above = nearest.select(F.col("u").alias("v"), F.col("m").alias("top"))
+    return edges.join(nearest, "u").join(above, "v").where("m <> v or top <> v").isEmpty()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _point(both.where("v > u"), smallest).select(F.col("v").alias("u"), F.col("m").alias("v"))
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    smallest = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = _point(edges, smallest).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(smallest.select("u", F.col("m").alias("v")))
-
-
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, steps: int | None = None) -> DataFrame:
     """(node, component): for every node of an edge, the smallest node it reaches.
 
     Nodes are of any ordered type; loops and null ends are left out; repeated
     edges and either direction are fine. Each step is written to the scratch
-    folder, so the plan stays short and a lost executor costs one step. Every
-    node ends with one edge, to its component; nothing is collected but a count
-    and a checksum per round.
+    folder, so the plan stays short and a lost executor costs one step; the tables
+    of earlier steps are removed. Nothing is collected but one flag per round.
+
+    With ``steps``, only so many rounds: equal components then still mean that
+    nodes are connected, but connected nodes may have several components.
     """
+    spark = edges.sparkSession
+    path = scratch_path(spark, "edges")
     now = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    now = written(now.distinct())
-    state = None
-    while (seen := _state(now)) != state:
-        state = seen
-        now = written(_small_star(written(_large_star(now).distinct())).distinct())
+    now = written(now.distinct(), path)
+    while steps is None or steps > 0:
+        # Both sides of a join are read from written tables, so both are shuffled for it
+        # (or one is broadcast) and a hub's edges can be split over tasks (adaptive skew join).
+        with Scratch(spark) as step:
+            both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            nearest = step.written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+            if _are_stars(now, nearest):
+                break
+            large = step.written(both.where("v > u").join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+            least = step.written(large.groupBy("u").agg(F.min("v").alias("m")))
+            moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            following = scratch_path(spark, "edges")
+            now = written(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), following)
+        remove(spark, path)
+        path, steps = following, steps and steps - 1
     pointed = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    if steps == 0:
+        return pointed.groupBy("node").agg(F.min("component").alias("component"))
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return pointed.unionByName(roots)

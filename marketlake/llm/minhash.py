@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.components import components
-from marketlake.llm.text import SPACED_LOWER, bound_batches, gram_codes, mix, odd_numbers, scan_words, written
+from marketlake.llm.text import SPACED_LOWER, Scratch, bound_batches, gram_codes, mix, odd_numbers, scan_words, written
 from marketlake.operators.common import join_per_key
-from marketlake.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -171,26 +170,23 @@ def near_duplicates(docs: DataFrame, like: Similar = Similar(), doc_id: str = "d
     of all its rows. A null id is linked with nothing (component_id null, kept). Ties need no rule,
     as the smallest id represents. An empty table gives an empty one. Extra columns of ``docs`` are not read.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "signatures")
-    signatures(docs, like, doc_id, text).write.parquet(path)
-    signed = spark.read.parquet(path)
-    linked = signed.where("doc_id is not null and n_shingles > 0")
-    same = ["s1", "s2", "n_shingles"]
-    classes = written(linked.groupBy(*same).agg(F.min("doc_id").alias("rep")))
-    member = linked.select("doc_id", *same).join(classes, same).select("doc_id", "rep", "n_shingles")
-    member = written(member)
-
-    keyed = linked.join(classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
-    buckets = written(keyed.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first <> last").select("key", "first"))
-    starred = keyed.join(buckets, "key").where("rep <> first").select("first", "rep").distinct()
-    clusters = components(starred, "first", "rep").select("node", F.col("component").alias("cluster"))
-    sized = written(clusters.join(member.where("doc_id = rep").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")).withColumnRenamed("doc_id", "node"), "node"))
-    links = confirmed_links(docs.where(F.col(doc_id).isNotNull()), sized, like, doc_id, text)
-    # Rows of one id are one node; so are the classes that they belong to.
-    repeated = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
-    grouped = components(links.unionByName(repeated), "a", "b")
-    rep = written(member.groupBy("doc_id").agg(F.min("rep").alias("rep")))
+    signed = written(signatures(docs, like, doc_id, text))
+    with Scratch(docs.sparkSession) as steps:
+        linked = signed.where("doc_id is not null and n_shingles > 0")
+        same = ["s1", "s2", "n_shingles"]
+        classes = steps.written(linked.groupBy(*same).agg(F.min("doc_id").alias("rep")))
+        member = steps.written(linked.select("doc_id", *same).join(classes, same).select("doc_id", "rep", "n_shingles"))
+
+        keyed = linked.join(classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
+        buckets = steps.written(keyed.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first <> last").select("key", "first"))
+        starred = keyed.join(buckets, "key").where("rep <> first").select("first", "rep").distinct()
+        clusters = components(starred, "first", "rep").select("node", F.col("component").alias("cluster"))
+        sized = steps.written(clusters.join(member.where("doc_id = rep").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")).withColumnRenamed("doc_id", "node"), "node"))
+        links = confirmed_links(docs.where(F.col(doc_id).isNotNull()), sized, like, doc_id, text)
+        # Rows of one id are one node; so are the classes that they belong to.
+        repeated = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
+        grouped = written(components(links.unionByName(repeated), "a", "b"))
+        rep = written(member.groupBy("doc_id").agg(F.min("rep").alias("rep")))
     component = rep.join(grouped.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     found = signed.select("doc_id", "n_shingles").join(component, "doc_id", "left")
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))

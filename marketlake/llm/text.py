@@ -31,15 +31,48 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def written(df: DataFrame) -> DataFrame:
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """The rows of ``df``, written once to the shared scratch folder and read from there.
 
     Cuts lineage like checkpoint(), in a compact form, and leaves no constraints of
-    the plan behind, which grow with every round of a loop.
+    the plan behind, which grow with every round of a loop. The shuffle files of the
+    write are given up with it, since only the table is read from here on.
     """
-    path = scratch_path(df.sparkSession, "rows")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "rows")
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Written tables of some steps; they are removed when the block is left."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path, self.tables = spark, scratch_path(spark, "steps"), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        remove(self.spark, self.path)
+
+    def written(self, df: DataFrame) -> DataFrame:
+        self.tables += 1
+        return written(df, f"{self.path}/{self.tables}")
 
 
 def fresh(name: str) -> str:
