@@ -15,22 +15,19 @@ def _are_stars(edges: DataFrame, nearest: DataFrame) -> bool:
     return edges.join(nearest, "u").join(above, "v").where("m <> v or top <> v").isEmpty()
 
 
-def components(edges: DataFrame, a: str, b: str, steps: int | None = None) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): for every node of an edge, the smallest node it reaches.
 
     Nodes are of any ordered type; loops and null ends are left out; repeated
     edges and either direction are fine. Each step is written to the scratch
     folder, so the plan stays short and a lost executor costs one step; the tables
     of earlier steps are removed. Nothing is collected but one flag per round.
-
-    With ``steps``, only so many rounds: equal components then still mean that
-    nodes are connected, but connected nodes may have several components.
     """
     spark = edges.sparkSession
     path = scratch_path(spark, "edges")
     now = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = written(now.distinct(), path)
-    while steps is None or steps > 0:
+    while True:
         # Both sides of a join are read from written tables, so both are shuffled for it
         # (or one is broadcast) and a hub's edges can be split over tasks (adaptive skew join).
         with Scratch(spark) as step:
@@ -44,9 +41,7 @@ def components(edges: DataFrame, a: str, b: str, steps: int | None = None) -> Da
             following = scratch_path(spark, "edges")
             now = written(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), following)
         remove(spark, path)
-        path, steps = following, steps and steps - 1
+        path = following
     pointed = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    if steps == 0:
-        return pointed.groupBy("node").agg(F.min("component").alias("component"))
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return pointed.unionByName(roots)
