@@ -199,6 +199,33 @@ def test_repeated_lines(spark):
     assert line_report(docs.where("false")).count() == 0
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_lines_by_brute_force(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9)))
+    pairs = []
+    for n in (5, 8, 10, 15, 20, 30, 50):
+        for _ in range(12):
+            line = [word() for _ in range(n)]
+            copy = list(line)
+            for i in rnd.sample(range(n), rnd.randint(1, max(1, n // 5))):
+                copy[i] = rnd.choice([word(), copy[i] + "s", "", f"{word()} {copy[i]}"])
+            pairs.append((" ".join(line), " ".join(w for w in copy if w)))
+    near = [i for i, (a, b) in enumerate(pairs) if 100 * edit_distance(a, b) <= 20 * max(len(a), len(b)) and len(b.split()) >= 5 and a != b]
+    rows = [(2 * i + j, line) for i, pair in enumerate(pairs) for j, line in enumerate(pair)]
+    gone = {r.doc_id for r in line_report(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert len(near) > 50 and len([i for i in near if 2 * i + 1 in gone]) >= 0.98 * len(near)
+    assert gone <= {2 * i + 1 for i, (a, b) in enumerate(pairs) if a == b or i in near}
+
+
 def test_shards_are_a_permutation(spark, scratch):
     rows = [(i if i % 7 else None, "same" if i % 3 else f"t{i}", 5) for i in range(1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, shard int").repartition(6)
