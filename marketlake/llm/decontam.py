@@ -4,8 +4,9 @@ A fixed mask selects some positions of a window of tokens and ignores the others
 so a window still hits after substitutions at ignored places. The masked windows
 of the benchmark go into a sorted hash table; the corpus streams past it, and its
 masked windows are joined by hash. Around each hit the two texts are aligned
-without gaps along the hit's diagonal, and the best stretch is verified: enough
-tokens, at most a fifth of them substituted.
+without gaps along the hit's diagonal, and a stretch is verified: enough
+equal tokens, at most a fifth substituted. Short items must be met in full length;
+they are found by pieces, one of which is free of the substitutions allowed.
 
 The benchmark is dealt with in blocks of bounded size, each broadcast to one pass
 over the corpus, so any number of items runs in bounded memory and no document is
@@ -29,6 +30,13 @@ from marketlake.llm.text import LETTERS, bound_batches, fresh, mix, odd_numbers,
 MASKS = ("1111111", "1110110101", "1101011011", "110100110111")
 BLOCK_WORDS = 500_000  # benchmark words of one broadcast block (about 50 MB of tables at most)
 LEAST_MATCH, MOST_SUBSTITUTED = 12, 0.2
+SHORT = 25  # items of fewer tokens, in which substitutions can leave no mask a place, also meet by pieces in full length
+EXACT = 7  # items of fewer tokens meet exactly
+
+
+def substituted(n: int) -> int:
+    """Tokens that may be substituted in a short item of ``n`` tokens."""
+    return n // 5 if n >= EXACT else 0
 
 
 def token_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -63,6 +71,47 @@ class SeedTable:
         self.hash, self.place = h[order], p[order]
         self.filter = np.zeros(1 << 22, bool)
         self.filter[(self.hash >> np.uint64(42)).astype(np.int64)] = True
+        self.short = self.short_pieces()
+
+    def short_pieces(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(size, sorted hashes, their places, filter) of the short items' pieces, one more of each item than may be substituted."""
+        places: dict[int, list[int]] = {}
+        for first, n in zip(self.begin[:-1].tolist(), np.diff(self.begin).tolist()):
+            parts = substituted(n) + 1
+            for i in range(parts if 0 < n < SHORT else 0):
+                places.setdefault(n * (i + 1) // parts - n * i // parts, []).append(first + n * i // parts)
+        out = []
+        for size, at in sorted(places.items()):
+            h = masked_codes(self.text, "1" * size, 100 + size)[at]
+            order = np.argsort(h, kind="stable")
+            seen = np.zeros(1 << 16, bool)
+            seen[(h >> np.uint64(48)).astype(np.int64)] = True
+            out.append((size, h[order], np.array(at)[order], seen))
+        return out
+
+    def short_overlaps(self, codes: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, shift, equal tokens) of the short items found in full length, in order."""
+        found = set()
+        for size, hashes, places, seen in self.short:
+            h = masked_codes(codes, "1" * size, 100 + size)
+            at = np.flatnonzero(seen[(h >> np.uint64(48)).astype(np.int64)])
+            lo, hi = np.searchsorted(hashes, h[at], "left"), np.searchsorted(hashes, h[at], "right")
+            while (more := hi > lo).any():  # as often as pieces of items are equal
+                at, lo, hi = at[more], lo[more], hi[more]
+                shift = at - places[lo]
+                item = np.searchsorted(self.begin, places[lo], "right") - 1
+                first, n = self.begin[item] + shift, self.begin[item + 1] - self.begin[item]
+                text = np.searchsorted(begin, at, "right") - 1
+                whole = (first >= begin[text]) & (first + n <= begin[text + 1])
+                shift, item, first, n, text = shift[whole], item[whole], first[whole], n[whole], text[whole]
+                same = np.zeros(len(n), np.int64)
+                for j in range(int(n.max(initial=0))):
+                    own = np.flatnonzero(n > j)
+                    same[own] += codes[first[own] + j] == self.text[first[own] - shift[own] + j]
+                good = n - same <= np.where(n >= EXACT, n // 5, 0)
+                found.update(zip(text[good].tolist(), item[good].tolist(), shift[good].tolist(), same[good].tolist()))
+                lo = lo + 1
+        yield from sorted(found)
 
     @staticmethod
     def within(places: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
@@ -83,26 +132,38 @@ class SeedTable:
                 for q in self.place[a:b].tolist():
                     aligned.add((t, int(np.searchsorted(self.begin, q, "right")) - 1, p - q))
         best: dict[tuple[int, int], tuple] = {}
+        for t, item, shift, same in self.short_overlaps(codes, begin):
+            start, n = int(self.begin[item]), int(self.begin[item + 1] - self.begin[item])
+            if (t, item) not in best or same > best[t, item][2]:
+                best[t, item] = (start + shift - int(begin[t]), n, same, 0)
         for t, item, shift in sorted(aligned):
             start = max(int(self.begin[item]), int(begin[t]) - shift)
             stop = min(int(self.begin[item + 1]), int(begin[t + 1]) - shift)
             equal = self.text[start:stop] == codes[start + shift : stop + shift]
-            found = best_stretch(equal, min(LEAST_MATCH, int(self.begin[item + 1] - self.begin[item])))
+            found = best_stretch(equal, LEAST_MATCH)
             if found and ((t, item) not in best or found[1:] > best[t, item][1:3]):
                 best[t, item] = (found[0] + start + shift - int(begin[t]), found[1], found[2], found[0] + start - int(self.begin[item]))
         return [(*k, *b) for k, b in sorted(best.items())]
 
 
 def best_stretch(equal: np.ndarray, least: int) -> tuple[int, int, int] | None:
-    """(start, length, equal) of the stretch with the most equal tokens less four times the
-    substituted ones (Kadane); it must hold ``least`` equal tokens and at most a fifth substituted."""
+    """(start, length, equal) of a stretch with ``least`` equal tokens and at most a fifth substituted, if there is one:
+    the one with the most equal tokens less four times the substituted ones (Kadane) where that
+    has ``least``, else the one with the most equal tokens."""
     score = np.where(equal, 1, -4)
     total = np.concatenate([[0], np.cumsum(score)])
     low = np.minimum.accumulate(total)
     end = int(np.argmax(total - low))
     start = int(np.flatnonzero(total[: end + 1] == low[end])[-1])
-    n, same = end - start, int(equal[start:end].sum())
-    return (start, n, same) if n and same >= least and n - same <= MOST_SUBSTITUTED * n else None
+    if (same := int(equal[start:end].sum())) < least:
+        # For each end, the first start from where at most a fifth is substituted.
+        starts, sums = np.searchsorted(-low, -total, "left"), np.concatenate([[0], np.cumsum(equal)])
+        end = int(np.argmax(sums - sums[starts]))
+        start = int(starts[end])
+        if (same := int(sums[end] - sums[start])) < least:
+            return None
+        start += int(np.argmax(equal[start:end]))
+    return start, end - start, same
 
 
 def blocks(benchmark: DataFrame, key: str, text: str, most: int) -> Iterator[list[tuple]]:
@@ -125,8 +186,8 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     doc_id, item_id, start_token, n_tokens (the stretch in the document), n_equal, item_start.
 
     Tokens are lower-cased runs of word characters. An item of fewer than
-    LEAST_MATCH tokens must match in full length (at most a fifth substituted);
-    items of fewer tokens than the shortest mask cannot hit and give no row. Null
+    SHORT tokens also matches in full length with at most a fifth substituted;
+    of fewer than EXACT tokens, only in full length without any. Null
     texts, on either side, give no row; a null id stays null. Of equally good
     stretches of a pair the one with the smallest diagonal is returned; repeated
     rows each give their own row. No document is shuffled or collected.

@@ -172,6 +172,33 @@ def test_decontamination_finds_substituted_passages(spark, docs):
     assert benchmark_overlaps(texts, bench.where("false")).count() == 0
 
 
+def test_decontamination_by_brute_force():
+    rnd = random.Random(5)
+    items = [" ".join(f"i{k}t{rnd.randrange(10**6)}" for _ in range(n)) for k, n in enumerate((2, 5, 7, 8, 9, 10, 10, 11, 12, 13, 14, 15, 15, 17, 20, 20, 25, 30) * 3)]
+    texts = []
+    for item in items:
+        for changes in range(max(1, len(item.split()) // 4) + 1):
+            texts.append(" ".join(prose(9) + edited(item.split(), changes) + prose(7)))
+    texts.append(" ".join(items[11].split()[3:]))
+
+    def overlap(text, item):
+        for shift in range(-len(item) + 1, len(text)):
+            equal = [0 <= i + shift < len(text) and text[i + shift] == w for i, w in enumerate(item)]
+            inside = [i for i in range(len(item)) if 0 <= i + shift < len(text)]
+            if len(item) == len(inside) and len(item) - sum(equal) <= (len(item) // 5 if len(item) >= 7 else 0):
+                return True
+            if any(sum(equal[a:b]) >= 12 and 5 * sum(equal[a:b]) >= 4 * (b - a) for a in inside for b in range(a + 12, inside[-1] + 2)):
+                return True
+        return False
+
+    want = {(t, i) for t, text in enumerate(texts) for i, item in enumerate(items) if set(text.split()) & set(item.split()) and overlap(text.split(), item.split())}
+    rows = SeedTable(list(range(len(items))), items).overlaps(*token_codes(pa.array(texts)))
+    got = {r[:2] for r in rows}
+    assert got <= want and len(got) >= 0.98 * len(want)
+    assert {(t, i) for t, i in want if len(items[i].split()) < 15} <= got
+    assert all(n <= len(items[i].split()) and 5 * same >= 4 * n for _, i, _, n, same, _ in rows)
+
+
 def test_every_whole_item_in_a_document_is_found(spark):
     bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").toPandas()
     table = spark.read.parquet(f"{SF_SMALL}/documents.parquet").toPandas()
