@@ -67,11 +67,15 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from marketlake.llm.sharding import assign_shards, record_size
-
-    records = documents(spark, sf_dir).select("doc_id", record_size("text").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
-    placed = assign_shards(records, shards=24, seed=20)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    from marketlake.llm.sharding import record_size, write_shards
+    from marketlake.session import scratch_path
+
+    docs = documents(spark, sf_dir)
+    path = scratch_path(spark, "shards")
+    write_shards(docs, path, shards=24, seed=20, text="text")
+    placed = spark.read.schema(f"{docs.schema.simpleString()[7:-1].replace(':', ' ')}, slot bigint, shard int").parquet(path)
+    size, crc = record_size("text").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
+    return placed.select("doc_id", size, crc, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query

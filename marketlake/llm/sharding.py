@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import fresh
+from marketlake.llm.text import Scratch, fresh, remove, written
 from marketlake.session import scratch_path
 
 BUCKET_BYTES = 32 << 20
@@ -24,11 +24,11 @@ def record_size(text: str):
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long")
 
 
-def assign_shards(df: DataFrame, shards: int, seed: int, bucket_bytes: int = BUCKET_BYTES, text: str | None = None) -> DataFrame:
+def assign_shards(df: DataFrame, shards: int, seed: int, bucket_bytes: int = BUCKET_BYTES, text: str | None = None, path: str | None = None) -> DataFrame:
     """All rows and columns of ``df`` with shard (int) and slot (long, gapless from 0 in a shard) appended.
 
     ``text`` names the column by whose bytes the buckets are sized; without it
-    every row counts 64 bytes. A row's bucket is a seeded hash of its number in
+    every row counts 64 bytes. ``path`` is where the buckets are written (default: a new scratch folder). A row's bucket is a seeded hash of its number in
     pass 1, not of its contents, so equal rows, equal keys and nulls spread like
     any others. The written buckets fix the scatter, and a bucket is shuffled inside one
     task, so lost executors repeat work without losing or doubling rows.
@@ -41,10 +41,10 @@ def assign_shards(df: DataFrame, shards: int, seed: int, bucket_bytes: int = BUC
     total = df.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes), spark.sparkContext.defaultParallelism)
     bucket, row, at = fresh("bucket"), fresh("row"), fresh("at")
-    path = scratch_path(spark, "buckets")
+    path = path or scratch_path(spark, "buckets")
     (df.withColumn(bucket, F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(buckets)).cast("int"))
      .withColumn(row, F.monotonically_increasing_id())
-     .write.parquet(path))
+     .write.parquet(path, compression="zstd"))
     scattered = spark.read.parquet(path)
     # One row per bucket, so the running count over them is as short as the bucket list, whose length is known here.
     counts = scattered.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
@@ -64,7 +64,11 @@ def write_shards(df: DataFrame, path: str, shards: int, seed: int, text: str | N
     """Writes ``path/shard=N`` as Parquet, each shard's rows in the order of their slots.
 
     Slots are dealt by range, so a shard larger than a task's memory is written
-    by several tasks, each a run of slots in files that sort by name.
+    by several tasks, each a run of slots in files that sort by name. The buckets
+    and their shuffle files are given up before the shards are dealt.
     """
-    placed = assign_shards(df, shards, seed, bucket_bytes, text)
-    (placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+    with Scratch(df.sparkSession) as steps:
+        buckets = f"{steps.path}/buckets"
+        placed = written(assign_shards(df, shards, seed, bucket_bytes, text, buckets), f"{steps.path}/placed", "zstd")
+        remove(df.sparkSession, buckets)
+        written(placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot"), path, "zstd", ["shard"])

@@ -34,7 +34,7 @@ def bound_batches(spark: SparkSession) -> None:
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, path: str | None = None) -> DataFrame:
+def written(df: DataFrame, path: str | None = None, codec: str | None = None, parts: list[str] | None = None) -> DataFrame:
     """The rows of ``df``, written once to the shared scratch folder and read from there.
 
     Cuts lineage like checkpoint(), in a compact form, and leaves no constraints of
@@ -46,7 +46,7 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=parts, compression=codec)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -271,6 +272,18 @@ def test_shards_are_a_permutation(spark, scratch):
     assert spark.read.parquet(path).groupBy("shard").count().count() == 4
 
 
+def test_sharding_query_moves_the_texts(spark, monkeypatch):
+    from marketlake.llm import sharding
+
+    moved = []
+    assign = sharding.assign_shards
+    monkeypatch.setattr(sharding, "assign_shards", lambda df, *a: moved.append((df.columns, a[3])) or assign(df, *a))
+    got = queries.QUERIES["op10_sharding"](spark, SF_SMALL).collect()
+    assert moved == [(["doc_id", "text"], "text")]
+    table = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in table)
+
+
 def test_label_model_recovers_accuracies():
     rng = np.random.default_rng(1)
     truth = rng.random(20000) < 0.7
