@@ -254,6 +254,16 @@ def test_near_lines_by_brute_force(spark):
     assert gone <= {2 * i + 1 for i, (a, b) in enumerate(pairs) if a == b or i in near}
 
 
+def test_lines_of_short_words_or_without_spaces(spark):
+    rnd = random.Random(6)
+    han = "".join(chr(rnd.randrange(0x4E00, 0x9F00)) for _ in range(60))
+    lines = [("the cat sat on the mat by the old door", "the cat sat on the mat by the odd door"), ("all rights reserved.", "all rights reserved."),
+             ("one\ttwo\tsix\tten\tand\tout", "one\ttwo\tsix\tten\tand\toff"), (han, han[:20] + "x" + han[21:]), ("two words", "two words")]
+    rows = [(2 * i + j, line) for i, pair in enumerate(lines) for j, line in enumerate(pair)]
+    gone = {r.doc_id for r in line_report(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert gone == {1, 3, 5, 7}
+
+
 def test_shards_are_a_permutation(spark, scratch):
     rows = [(i if i % 7 else None, "same" if i % 3 else f"t{i}", 5) for i in range(1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, shard int").repartition(6)
