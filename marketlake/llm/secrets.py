@@ -2,7 +2,7 @@
 
 Base patterns (assignments, access keys, long hexadecimal runs) are found as they
 stand. Beyond them, every other long token is a candidate. Its encoding is
-inferred (decimal, hexadecimal, base32, lower case, base64), and three tests of
+inferred (decimal, hexadecimal, upper or lower case, base32, base36, letters, base64), and three tests of
 randomness are made on its symbols: chi-squared uniformity over the encoding's
 alphabet, Wald-Wolfowitz runs about the median and lag-one serial correlation. A
 token that any of them shows not to be random is dropped. For the others, the
@@ -36,14 +36,16 @@ KINDS = ("assign", "access", "hex", "random")
 ALPHABETS = (
     ("decimal", "0123456789"),
     ("hex", "0123456789abcdef"),
+    ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("lower", "abcdefghijklmnopqrstuvwxyz"),
     ("base36", "abcdefghijklmnopqrstuvwxyz0123456789"),
+    ("letters", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 )
 # Per symbol, the chi-squared divergence from uniform that ordinary text has in an
 # alphabet (text fills few symbols of a large alphabet, hence the growth).
-TEXT_DIVERGENCE = {"decimal": 0.6, "hex": 1.2, "base32": 1.4, "lower": 0.9, "base36": 1.6, "base64": 2.6}
+TEXT_DIVERGENCE = {"decimal": 0.6, "hex": 1.2, "upper": 0.9, "base32": 1.4, "lower": 0.9, "base36": 1.6, "letters": 2.0, "base64": 2.6}
 RANDOM_LEVEL = 0.001  # below, a test has shown that the token is not random
 BINS = 400  # p-values are counted in bins of a twentieth of a decade
 
@@ -87,11 +89,6 @@ def battery(token: str) -> tuple[str, float, float] | None:
     return name, min(p_chi, p_runs, p_serial), max(p_text, 1e-20)
 
 
-def mixed(token: str) -> bool:
-    """Letters and digits both, or upper case inside: what words and numbers are not."""
-    return any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-
-
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, float]]]:
     """(base spans, candidates with their p under ordinary text)."""
     low = text.lower()
@@ -104,7 +101,7 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, fl
     more = []
     for m in CANDIDATE.finditer(text):
         token = m[0]
-        if mixed(token) and not any(s < m.end() and m.start() < e for _, s, e in base):
+        if not any(s < m.end() and m.start() < e for _, s, e in base):
             found = battery(token)
             if found and found[1] >= RANDOM_LEVEL:
                 more.append((m.start(), m.end(), found[2]))

@@ -16,7 +16,7 @@ from conftest import SF_SMALL
 from marketlake.llm import queries
 from marketlake.llm.bpe_codec import encode_decode
 from marketlake.llm.host_rules import Rules, judge, repeated_words
-from marketlake.llm.secrets import battery, find_secrets, smallest_bins
+from marketlake.llm.secrets import battery, find_secrets, scan, smallest_bins
 from marketlake.llm.text import scan_words
 from marketlake.llm.token_counts import MergeCounter, token_counts
 
@@ -151,6 +151,20 @@ def test_secrets_by_brute_force(spark):
     assert find_secrets(df.where("false")).count() == 0
 
 
+def test_secrets_of_letters_or_digits_only(spark):
+    rnd = random.Random(8)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    keys = ["".join(rnd.choice(a) for _ in range(n)) for a, n in ((upper + lower, 64), (upper + lower, 200), (lower, 64), (upper, 64), (upper, 200))]
+    text = ["internationalization", "Donaudampfschifffahrtsgesellschaft", "some/path/to/another/file", "0000000000000000000000000", "-" * 40, "UNCHARACTERISTICALLY", "aVeryLongIdentifierNameInCamelCase"]
+    df = spark.createDataFrame([(i, f"see {w} there") for i, w in enumerate(keys + text)], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in find_secrets(df).collect()}
+    assert all(spans[i] == f"random:4:{4 + len(k)}" for i, k in enumerate(keys)), spans
+    assert all(not spans[i].startswith("random") for i in range(len(keys), len(keys + text))), spans
+    # From 24 digits on the base pattern of hexadecimal runs has them; shorter ones are tested.
+    number = "".join(rnd.choice(digits) for _ in range(20))
+    assert [c[:2] for c in scan(f"see {number} there")[1]] == [(4, 24)]
+
+
 def test_battery_tells_random_from_text_and_order():
     rnd = random.Random(2)
     code = "".join(rnd.choice("0123456789abcdef") for _ in range(64))
