@@ -77,8 +77,9 @@ def pivot_filtered(spark, sf_dir):
 
 
 COMPOSITE_VALUES = list(product(ORDER_STATUSES, ORDER_PRIORITIES))
-# Four overlapping yearly ranges (boundary years are in two parts each).
-YEAR_RANGES = [(1990, 1994), (1994, 1996), (1996, 1998), (1998, 2100)]
+# Four overlapping yearly ranges (boundary years are in two parts each), open at
+# both ends (None); rows without a date come with the first.
+YEAR_RANGES = [(None, 1994), (1994, 1996), (1996, 1998), (1998, None)]
 
 
 def _composite_sql() -> str:
@@ -106,9 +107,14 @@ def yearly_statements(spark, sf_dir):
     )
 
 
-def year_range(lo: int, hi: int):
-    """Years ``lo..hi`` inclusive, on the date column (pushed to the scan)."""
-    return F.col("__d").between(F.lit(f"{lo}-01-01").cast("date"), F.lit(f"{hi}-12-31").cast("date"))
+def year_range(lo: int | None, hi: int | None):
+    """Years ``lo..hi`` inclusive (None: open), on the date column (pushed to the scan)."""
+    d = F.col("__d")
+    if lo is None:
+        return d.isNull() | (d <= F.lit(f"{hi}-12-31").cast("date"))
+    if hi is None:
+        return d >= F.lit(f"{lo}-01-01").cast("date")
+    return d.between(F.lit(f"{lo}-01-01").cast("date"), F.lit(f"{hi}-12-31").cast("date"))
 
 
 def yearly_statement_parts(spark, sf_dir):

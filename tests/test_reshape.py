@@ -137,3 +137,18 @@ def test_group_sum_large_values_with_wider_decimal(spark):
     df = spark.createDataFrame([("KOR", 2.2e15), ("KOR", 1.25)], "k string, v double")
     got = group_sum(df, "k", "v", "s", decimal_scale=4, decimal_precision=38).first()
     assert got.s == 2.2e15 + 1.25
+
+
+def test_yearly_queries_keep_early_late_and_missing_dates(spark, scratch):
+    from marketlake.plans import catalog
+
+    folder = scratch("sf")
+    rows = [(1, "1985-03-01"), (2, "1994-05-01"), (3, "2150-01-01"), (4, None), (5, "1997-07-07")]
+    orders = spark.createDataFrame([(k, d, "O", "1-URGENT", 10.0 * k) for k, d in rows], "o_orderkey long, d string, o_orderstatus string, o_orderpriority string, o_totalprice double")
+    orders.selectExpr("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "cast(d as date) o_orderdate").write.parquet(f"{folder}/orders.parquet")
+    for name in ("union_overlap_dedup", "union_overlap_distinct"):
+        got = [(r.seq, r.TIME) for r in catalog.queries()[name](spark, folder).collect()]
+        assert sorted(got) == [(k, d and d[:4]) for k, d in rows], name
+    for name in ("pivot_composite", "job_statements"):
+        got = [str(r.Date)[:4] for r in catalog.queries()[name](spark, folder).collect()]
+        assert sorted(got) == ["1985", "1994", "1997", "2150"], name
