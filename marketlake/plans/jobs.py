@@ -21,9 +21,9 @@ from marketlake.operators.ranking import EXCHANGE_CODES, attach_exchange, first_
 from marketlake.operators.reshape import filter_in, pivot_composite, pivot_first, union_all, union_first_wins
 from marketlake.operators.volatility import DEFAULT_THRESHOLD_PCT, daily_first_price, high_volatility
 from marketlake.sinks.files import write_csv, write_manifest, write_parquet
-from marketlake.sinks.jdbc import replicate_tables, write_jdbc
+from marketlake.sinks.jdbc import publish_jdbc, replicate_tables
 from marketlake.sinks.tables import append_rows, replace_table, truncate_reload
-from marketlake.sources.files import delete_path, drop_row_index, read_csv, read_manifest
+from marketlake.sources.files import delete_path, drop_row_index, list_objects, read_csv, read_manifest
 from marketlake.session import cut_lineage
 from marketlake.sources.warehouse import list_tables
 
@@ -161,6 +161,16 @@ def manifest_load_job(spark: SparkSession, manifest_path: str, history_csv_dir:
     return spark.table(table)
 
 
+#: Fixed text widths of the warehouse's history table: databases join and compare these, not large objects.
+WAREHOUSE_TYPES = "name VARCHAR(256), code VARCHAR(64)"
+
+
+def manifest_load_id(spark: SparkSession, manifest_path: str) -> str:
+    """The name of the load that a manifest asks for: the same for a rerun, another once it is written anew."""
+    files = list_objects(spark, manifest_path).select(F.concat_ws("|", "path", "length", F.col("modificationTime").cast("double").cast("string")).alias("f"))
+    return files.agg(F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("f"))), 256)).first()[0]  # a manifest has a few files
+
+
 def manifest_jdbc_load_job(
     spark: SparkSession,
     manifest_path: str,
@@ -171,28 +181,19 @@ def manifest_jdbc_load_job(
     delete_manifest: bool = True,
 ) -> bool:
     """E4 into a warehouse: manifest codes -> all-text history (S3) -> typed
-    date / name / code / DECIMAL(8,2) (P5) -> JDBC append (K11).
+    date / name / code / DECIMAL(8,2) (P5) -> staged JDBC publish (K11).
 
-    The target is created with the typed schema if absent; codes already in
-    it are skipped, so a crash after the append and before the manifest
-    delete cannot double rows on the rerun. Returns whether a manifest was found.
+    All listed codes' histories appear in one transaction, in place of whatever an
+    interrupted load left of these codes. The manifest's load is on record from then on: a
+    crash before the manifest is deleted adds nothing twice. The target is created with the typed
+    schema if absent. Returns whether a manifest was found.
     """
     manifest = read_manifest(spark, manifest_path)
     if manifest is None:
         return False
     typed = typed_history(drop_row_index(read_csv(spark, history_csv_dir)))
-    write_jdbc(typed.limit(0), url, table, mode="append", properties=properties)  # K9: create if absent
-    # Column pruning reaches the database (SELECT "code" ...); the DISTINCT is
-    # pushed down too where the dialect supports aggregate push-down.
-    present = (
-        spark.read.format("jdbc").option("url", url).option("dbtable", table)
-        .option("pushDownAggregate", "true").options(**properties).load()
-        .select("code").distinct()
-    )
-    wanted = manifest.distinct().join(present, "code", "left_anti")  # listed and not loaded yet
-    rows = filter_by_keys(typed, wanted, "code")
-    if not rows.isEmpty():  # F5
-        write_jdbc(rows, url, table, mode="append", properties=properties)
+    publish_jdbc(filter_by_keys(typed, manifest, "code"), url, table, manifest_load_id(spark, manifest_path), properties,
+                 replace_key="code", column_types=WAREHOUSE_TYPES)
     if delete_manifest:
         delete_path(spark, manifest_path)
     return True

@@ -98,6 +98,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly under ``path``, sorted; none if it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` on its filesystem (used after a commit, never before)."""
     jvm = spark._jvm
