@@ -1,7 +1,8 @@
 """Per-code history as committed loads, with an index of last days.
 
     <path>/data/load=<n>/bucket=<b>/year=<y>/*.parquet   rows; a code lives in one bucket
-    <path>/index/v=<n>[~<tag>]/*.parquet                 one row per code: its last day, bucket, base
+    <path>/index/v=<n>[~<tag>]/*.parquet                 one row per code: its last day, [carried columns of
+                                                         that day,] bucket, base
 
 A load writes its rows, then the index that includes them. The index's ``_SUCCESS`` is
 the commit: readers take the newest committed index and of each bucket the loads
@@ -40,7 +41,11 @@ class Added:
 
 @dataclass(frozen=True)
 class HistoryStore:
-    """A history under ``path``; ``buckets`` is fixed for the life of the store."""
+    """A history under ``path``; ``buckets`` and ``carry`` are fixed for the life of the store.
+
+    ``carry`` names columns whose values on a code's last day the index keeps too (of
+    several rows of that day the greatest values).
+    """
 
     spark: SparkSession
     path: str
@@ -48,6 +53,11 @@ class HistoryStore:
     key: str = "code"
     date: str = "date"
     buckets: int = 16
+    carry: tuple[str, ...] = ()
+
+    def __post_init__(self) -> None:
+        if taken := {"load", "bucket", "year", "last", "base"} & {f.name.lower() for f in self.schema.fields}:
+            raise ValueError(f"column names of the store itself: {sorted(taken)}")
 
     # ------------------------------------------------------------------ committed state
 
@@ -75,7 +85,8 @@ class HistoryStore:
 
     def _index_schema(self) -> StructType:
         day = self.schema[self.date].dataType
-        return StructType([StructField(self.key, self.schema[self.key].dataType), StructField("last", day), StructField("bucket", IntegerType()), StructField("base", LongType())])
+        held = [self.schema[c] for c in self.carry]
+        return StructType([StructField(self.key, self.schema[self.key].dataType), StructField("last", day), *held, StructField("bucket", IntegerType()), StructField("base", LongType())])
 
     def index(self, version: int | None = None) -> DataFrame:
         """One row per code: key, last (its last stored day), bucket, base (the first load that counts in its bucket)."""
@@ -143,15 +154,22 @@ class HistoryStore:
         placed = rows if "bucket" in rows.columns else rows.withColumn("bucket", self.bucket_of())
         write_partitioned(placed.withColumn("year", F.year(self.date)), f"{self.path}/data/load={load}", ["bucket", "year"])
 
+    def _last(self, rows: DataFrame) -> DataFrame:
+        """Per code the last day of ``rows`` (key, last, carried columns) and its carried columns."""
+        if not self.carry:
+            return rows.groupBy(self.key).agg(F.max("last").alias("last"))
+        packed = rows.groupBy(self.key).agg(F.max(F.struct("last", *self.carry)).alias("m"))
+        return packed.select(self.key, "m.last", *[F.col(f"m.{c}") for c in self.carry])
+
     def _commit(self, index: DataFrame, load: int, tag: str, bases: dict[int, int]) -> None:
-        """The commit: an index (key, last) with each bucket's base, as version ``load``."""
+        """The commit: an index (key, last, carried columns) with each bucket's base, as version ``load``."""
         if tag and not tag.replace("-", "").replace("_", "").isalnum():
             raise ValueError("a tag has letters, digits, - and _ only")
         base = F.lit(load).cast("long")
         if bases:
             known = F.create_map(*[F.lit(x) for pair in sorted(bases.items()) for x in pair])
             base = F.coalesce(F.try_element_at(known, self.bucket_of()).cast("long"), base)
-        out = index.select(self.key, "last", self.bucket_of().alias("bucket"), base.alias("base"))
+        out = index.select(self.key, "last", *self.carry, self.bucket_of().alias("bucket"), base.alias("base"))
         out.write.mode("overwrite").parquet(f"{self.path}/index/v={load}{f'~{tag}' if tag else ''}")
 
     def add(self, incoming: DataFrame, tag: str = "", newer_only: bool = True, since_version: int | None = None) -> Added:
@@ -183,9 +201,8 @@ class HistoryStore:
         if not counts:
             delete_path(self.spark, f"{self.path}/data/load={load}")
             return Added(version, 0, 0)
-        fresh = self._data().where((F.col("load") == load) & (F.col("bucket") != REJECTS)).groupBy(self.key).agg(F.max(self.date).alias("last"))
-        merged = current.select(self.key, "last").unionByName(fresh).groupBy(self.key).agg(F.max("last").alias("last"))
-        self._commit(merged, load, tag, self._bases(version))
+        fresh = self._data().where((F.col("load") == load) & (F.col("bucket") != REJECTS)).select(self.key, F.col(self.date).alias("last"), *self.carry)
+        self._commit(self._last(self._last(fresh).unionByName(current.drop("bucket", "base"))), load, tag, self._bases(version))
         return Added(load, stored, unusable)
 
     def rejects(self) -> DataFrame:
@@ -204,7 +221,7 @@ class HistoryStore:
         if gone is not None:
             held, index = filter_by_keys(held, gone, self.key, keep=False), filter_by_keys(index, gone, self.key, keep=False)
         self._write(held.select(*self.schema.names), load)
-        self._commit(index.select(self.key, "last"), load, "", {b: n for b, n in bases.items() if b not in buckets})
+        self._commit(index, load, "", {b: n for b, n in bases.items() if b not in buckets})
         return load
 
     def delete(self, codes: DataFrame) -> int:
