@@ -13,11 +13,10 @@ from marketlake.plans.jobs import top_listing
 from marketlake.plans.ranking_queries import ranked_companies
 from marketlake.plans.standins import companies, price_history
 from marketlake.session import read_table, scratch_path
-from marketlake.sinks.files import write_parquet, write_per_key
+from marketlake.sinks.files import write_parquet, write_partitioned
 from marketlake.sinks.history_store import HistoryStore
 from marketlake.streaming.keyed import stream_into_store
 
-OBJECTS_FROM = "1998-06-01"
 PRICES = "code bigint, date date, price double, row_key bigint"
 
 
@@ -65,24 +64,31 @@ def store_refresh(spark, sf_dir):
     return store.read()
 
 
+NATION_SQL = """SELECT c.c_nationkey AS code, CAST(o.o_orderdate AS DATE) AS date, o.o_totalprice AS price, o.o_orderkey AS row_key
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+
 @register(
     "store_retention",
-    f"""WITH kept AS (SELECT h.code, h.date, h.price, h.row_key FROM ({HISTORY_SQL}) h WHERE h.code IN (SELECT code FROM ({TOP100_SQL}) t))
-SELECT 'rows' AS store, * FROM kept UNION ALL SELECT 'objects' AS store, * FROM kept WHERE date >= DATE '{OBJECTS_FROM}'""",
+    f"""WITH kept AS (SELECT * FROM ({NATION_SQL}) h WHERE code IN (
+  SELECT c_nationkey FROM customer GROUP BY 1 ORDER BY count(*) DESC, c_nationkey LIMIT 10))
+SELECT 'rows' AS store, * FROM kept UNION ALL SELECT 'objects' AS store, * FROM kept""",
 )
 def store_retention(spark, sf_dir):
-    """E7 on two stores: rows in the store, the last months' rows in one folder per code beside it; codes that
-    left the top 100 go from both. The first run "crashes" between the two; the rerun ends it."""
-    history = price_history(spark, sf_dir).select(*COLS)
+    """E7 on two stores: orders by the customer's nation, as rows of the store and in one folder per
+    code beside it; codes that are not among the ten with the most customers go from
+    both. The first run "crashes" between the two; the rerun ends it."""
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("long").alias("nation"))
+    history = price_history(spark, sf_dir).join(customers, F.col("code") == F.col("c_custkey")).select(F.col("nation").alias("code"), *COLS[1:])
     store = new_store(spark, PRICES)
     store.add(history)
     objects, intents = scratch_path(spark, "objects"), scratch_path(spark, "intents")
-    write_per_key(history.where(F.col("date") >= F.lit(OBJECTS_FROM).cast("date")), objects, fmt="parquet")
-    top = ranked_companies(spark, sf_dir).select("code")
-    leaving = store.index().select(F.col("code").cast("string")).join(top.select(F.col("code").cast("string")), "code", "left_anti")
+    write_partitioned(history, objects, ["code"])
+    listed = customers.groupBy("nation").count().orderBy(F.desc("count"), "nation").limit(10).select(F.col("nation").alias("code"))
+    leaving = store.index().select(F.col("code").cast("string")).join(listed.select(F.col("code").cast("string")), "code", "left_anti")
     leaving.write.parquet(f"{intents}/gone-crashed")
     store.delete(leaving)  # "crash" before the objects
-    store_jobs.retention_stores_job(store, objects, top, intents)
+    store_jobs.retention_stores_job(store, objects, listed, intents)
     left = spark.read.schema(StructType.fromDDL(PRICES)).parquet(objects).select(*COLS)
     return store.read().select(F.lit("rows").alias("store"), *COLS).unionByName(left.select(F.lit("objects").alias("store"), *COLS))
 
