@@ -37,23 +37,26 @@ HISTORY_DDL = "code string, date date, price double, row_key long"
 
 def run_series(spark, a) -> None:
     from marketlake.plans import jobs, series
-    from marketlake.sinks.tables import truncate_reload
-    from marketlake.sources.statistics import read_statistics, to_stat_long
+    from marketlake.sources.statistics import FILE_ORDER, LINE_ORDER, read_large_statistics, read_statistics, to_stat_long
 
-    long = to_stat_long(read_statistics(spark, a.landing, strict=a.strict, json_lines=a.json_lines))
-    order = ["source_file", "row_pos"]
+    if a.large:
+        long = to_stat_long(read_large_statistics(spark, a.landing, strict=a.strict))
+    else:
+        long = to_stat_long(read_statistics(spark, a.landing, strict=a.strict, json_lines=a.json_lines))
+    order = LINE_ORDER if a.json_lines and not a.large else FILE_ORDER
+    publish = (lambda shape, sort_by, evolve=False: jobs.series_job(long, shape, a.raw, a.processed, a.table, a.root, sort_by, evolve))
     if a.series == "exchange_rate":
-        jobs.macro_wide_job(long, a.raw, a.processed, a.table, a.root, order, columns=series.EXCHANGE_RATE_COLUMNS)
+        publish(lambda raw: series.exchange_rate(raw, order), ["TIME"])
     elif a.series == "interest_rates":
-        jobs.macro_wide_job(long, a.raw, a.processed, a.table, a.root, order, items=series.INTEREST_RATE_ITEMS)
+        publish(lambda raw: series.interest_rates(raw, order), ["TIME"])
     elif a.series == "kospi":
-        truncate_reload(series.kospi(long, order), a.table, a.root)
+        publish(lambda raw: series.kospi(raw, order), ["TIME"], evolve=True)
     elif a.series == "news_sentiment":
-        truncate_reload(series.news_sentiment(long), a.table, a.root)
+        publish(series.news_sentiment, ["TIME"])
     elif a.series == "gdp":
-        truncate_reload(series.gdp(series.country_from_file(long)), a.table, a.root)
+        publish(lambda raw: series.gdp(series.country_from_file(raw)), ["country", "Date"])
     else:
-        truncate_reload(series.financial_statements(long, order), a.table, a.root)
+        publish(lambda raw: series.financial_statements(raw, order), ["Date"], evolve=True)
 
 
 def run_rank_publish(spark, a) -> None:
@@ -99,6 +102,51 @@ def run_manifest_load(spark, a) -> None:
     jobs.manifest_load_job(spark, a.manifest, a.history_csv, a.table)
 
 
+def run_manifest_publish(spark, a) -> None:
+    from marketlake.plans import jobs
+
+    jobs.manifest_jdbc_load_job(spark, a.manifest, a.history_csv, a.url, a.table, _props(a.prop))
+
+
+def run_vacuum(spark, a) -> None:
+    from marketlake.sinks.tables import vacuum_versions
+
+    vacuum_versions(spark, a.table, a.root, a.keep_previous)
+
+
+def _store(spark, a):
+    from pyspark.sql.types import StructType
+
+    from marketlake.sinks.history_store import HistoryStore
+
+    return HistoryStore(spark, a.store, StructType.fromDDL(a.schema), buckets=a.buckets)
+
+
+def run_store_refresh(spark, a) -> None:
+    from marketlake.plans import store_jobs
+
+    listing = _read(spark, a.listing, a.listing_format, "code string, name string")
+    store_jobs.refresh_store_job(listing, _read(spark, a.prices, a.prices_format, HISTORY_DDL), _store(spark, a), a.manifest, a.start)
+
+
+def run_store_stream(spark, a) -> None:
+    from marketlake.streaming.keyed import stream_into_store
+
+    stream_into_store(spark, a.landing, _store(spark, a), a.checkpoint, fmt=a.format)
+
+
+def run_store_retention(spark, a) -> None:
+    from marketlake.plans import store_jobs
+
+    store_jobs.retention_stores_job(_store(spark, a), a.objects, _read(spark, a.keep, a.keep_format, "code string"), a.intents)
+
+
+def run_store_vacuum(spark, a) -> None:
+    store = _store(spark, a)
+    store.compact(a.most_loads)
+    store.vacuum()
+
+
 def run_volatility(spark, a) -> None:
     from marketlake.plans import jobs
 
@@ -129,10 +177,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--landing", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--root", required=True, help="directory holding table versions")
-    s.add_argument("--raw", help="raw zone path (exchange_rate, interest_rates)")
-    s.add_argument("--processed", help="processed CSV path (exchange_rate, interest_rates)")
+    s.add_argument("--raw", help="raw zone path; without it nothing is landed")
+    s.add_argument("--processed", help="processed CSV path; without it no CSV is written")
     s.add_argument("--strict", action="store_true", help="fail on a response without data")
     s.add_argument("--json-lines", action="store_true", help="one response per line instead of per file")
+    s.add_argument("--large", action="store_true", help="documents too large for one task each: read them record by record")
     s.set_defaults(run=run_series)
 
     s = sub.add_parser("rank-publish", help="ranking page -> ranked, exchange-coded table")
@@ -183,6 +232,51 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--table", required=True)
     s.set_defaults(run=run_manifest_load)
 
+    s = sub.add_parser("manifest-publish", help="load the history of the codes in the manifest into a warehouse, in one transaction")
+    s.add_argument("--manifest", required=True)
+    s.add_argument("--history-csv", required=True)
+    s.add_argument("--url", required=True)
+    s.add_argument("--table", required=True)
+    s.add_argument("--prop", action="append", help="JDBC property key=value (user, password, driver)")
+    s.set_defaults(run=run_manifest_publish)
+
+    s = sub.add_parser("vacuum", help="delete old versions of a table")
+    s.add_argument("--table", required=True)
+    s.add_argument("--root", required=True)
+    s.add_argument("--keep-previous", type=int, default=1)
+    s.set_defaults(run=run_vacuum)
+
+    def store_parser(name: str, run, text: str, schema: str = HISTORY_DDL):
+        s = sub.add_parser(name, help=text)
+        s.add_argument("--store", required=True, help="path of the history store")
+        s.add_argument("--schema", default=schema)
+        s.add_argument("--buckets", type=int, default=16, help="fixed for the life of the store")
+        s.set_defaults(run=run)
+        return s
+
+    s = store_parser("store-refresh", run_store_refresh, "append new days / backfill new codes in a history store",
+                     "code string, name string, date date, price double, row_key long")
+    s.add_argument("--listing", required=True)
+    s.add_argument("--listing-format", default="csv")
+    s.add_argument("--prices", required=True)
+    s.add_argument("--prices-format", default="parquet")
+    s.add_argument("--manifest", required=True)
+    s.add_argument("--start")
+
+    s = store_parser("store-stream", run_store_stream, "newly landed files -> history store, once")
+    s.add_argument("--landing", required=True)
+    s.add_argument("--checkpoint", required=True)
+    s.add_argument("--format", default="parquet")
+
+    s = store_parser("store-retention", run_store_retention, "drop codes no longer listed from a history store and from their objects")
+    s.add_argument("--objects", required=True, help="folder with one code=... folder per code")
+    s.add_argument("--keep", required=True)
+    s.add_argument("--keep-format", default="csv")
+    s.add_argument("--intents", required=True, help="where deletes are written down until they are done")
+
+    s = store_parser("store-vacuum", run_store_vacuum, "compact a history store and delete what no version reads")
+    s.add_argument("--most-loads", type=int, default=8)
+
     s = sub.add_parser("volatility", help="high-volatility rows of the top-k codes")
     s.add_argument("--ranked", required=True)
     s.add_argument("--ranked-format", default="csv")

@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from marketlake.session import cut_lineage
+
 # Spark's own ceiling for pivots without an explicit value list.
 MAX_PIVOT_VALUES = 10_000
 # Up to this many columns the pivot is one conditional aggregation (one shuffle).
@@ -26,7 +28,20 @@ def _names(cols: str | Sequence[str]) -> list[str]:
 
 def _order_key(order: str | Sequence[str]) -> Column:
     cols = _names(order)
-    return F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(c) for c in cols])
+    if len(cols) == 1:
+        return F.col(cols[0])
+    return F.struct(*[x for c in cols for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c))])  # nulls last
+
+
+def _first_by(value: Column, order: str | Sequence[str], own: Column | None = None) -> Column:
+    """The value of the first row by ``order``, of the rows where ``own`` holds. Rows without an order come
+    last; if a cell has no others, the least of their values."""
+    ordering = _order_key(order)
+    if own is not None:
+        value, ordering = F.when(own, value), F.when(own, ordering)
+    if len(_names(order)) > 1:
+        return F.min_by(value, ordering)
+    return F.coalesce(F.min_by(value, ordering), F.min(F.when(F.col(_names(order)[0]).isNull(), value)))
 
 
 def _all_not_null(cols: Iterable[str]) -> Column:
@@ -64,6 +79,7 @@ def pivot_first(
       never occurs gives an all-NULL column, so positional consumers never
       shift). Without it the sorted distinct non-null keys are used.
     * ``order`` is required: "first" has no meaning after a shuffle otherwise.
+      A row whose order is NULL comes after all others.
 
     Plan: one partial aggregation per index value before a single shuffle on
     the index (up to ``SINGLE_PASS_MAX_VALUES`` columns), so a hot index value
@@ -74,17 +90,65 @@ def pivot_first(
     if values is None:
         values = pivot_values(base, key)
     values = list(values)
-    ordering = _order_key(order)
     if len(values) <= SINGLE_PASS_MAX_VALUES:
         # One aggregation, one shuffle on the index: each output column is a
         # min_by whose ordering is NULL (= ignored) unless the row has that key.
-        cells = [
-            F.min_by(F.col(value), F.when(F.col(key) == F.lit(v), ordering)).alias(str(v)) for v in values
-        ]
+        cells = [_first_by(F.col(value), order, F.col(key) == F.lit(v)).alias(str(v)) for v in values]
         return base.groupBy(*idx).agg(*cells)
     # Wide pivots: Spark's two-phase pivot (per-cell aggregate, then PivotFirst)
     # evaluates one aggregate per row instead of one per listed value.
-    return base.groupBy(*idx).pivot(key, values).agg(F.min_by(F.col(value), ordering))
+    return base.groupBy(*idx).pivot(key, values).agg(_first_by(F.col(value), order))
+
+
+def pivot_blocks(df: DataFrame, index: str | Sequence[str], key: str, value: str, order: str | Sequence[str], width: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """``pivot_first`` for any number of items: (layout, cells) instead of a column per item.
+
+    layout: item, block, place - the sorted items, ``width`` to a block. cells: index, block,
+    ``cells``, an array with one element per place (NULL: no value); a block in which an index
+    has no value has no row. One shuffle per cell, one per index and block; nothing is collected, and
+    no row is wider than a block. ``block_columns`` gives chosen items as columns.
+    """
+    idx = _names(index)
+    base = df.where(_all_not_null(idx + [key, value]))
+    first = base.groupBy(*idx, key).agg(_first_by(F.col(value), order).alias("__v"))
+    # Places by range: sorted parts are numbered from the counts of the parts before them.
+    items = base.select(F.col(key).alias("item")).distinct()
+    ranked = cut_lineage(items.repartitionByRange("item").sortWithinPartitions("item").select("item", F.monotonically_increasing_id().alias("__n")))
+    part = F.shiftright("__n", 33)
+    counts = ranked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__count"))
+    before = counts.select("__part", (F.sum("__count").over(Window.orderBy("__part")) - F.col("__count")).alias("__before"))  # one row per part
+    number = F.col("__n") - F.shiftleft(F.col("__part"), 33) + F.col("__before")
+    layout = ranked.withColumn("__part", part).join(F.broadcast(before), "__part").select(
+        "item", F.floor(number / width).cast("int").alias("block"), (number % width).cast("int").alias("place"))
+    layout = cut_lineage(layout)
+    placed = first.join(layout, first[key] == layout["item"]).groupBy(*idx, "block").agg(
+        F.map_from_entries(F.collect_list(F.struct("place", "__v"))).alias("__m"))
+    cells = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda p: F.try_element_at("__m", p))
+    return layout, placed.select(*idx, "block", cells.alias("cells"))
+
+
+def block_columns(layout: DataFrame, cells: DataFrame, index: str | Sequence[str], items: Sequence) -> DataFrame:
+    """Chosen items of ``pivot_blocks`` as columns, one row per index that has any of them; reads their blocks only."""
+    idx = _names(index)
+    where = {r["item"]: (r["block"], r["place"]) for r in layout.where(F.col("item").isin(list(items))).collect()}
+    own = cells.where(F.col("block").isin(sorted({b for b, _ in where.values()})))
+    kind = cells.schema["cells"].dataType.elementType
+
+    def one(item) -> Column:
+        if item not in where:
+            return F.lit(None).cast(kind).alias(str(item))
+        block, place = where[item]
+        return F.max(F.when(F.col("block") == block, F.col("cells")[place])).alias(str(item))
+
+    wide = own.groupBy(*idx).agg(*[one(i) for i in items])
+    return wide.where(reduce(lambda a, b: a | b, [F.col(f"`{i}`").isNotNull() for i in items]))
+
+
+def block_values(layout: DataFrame, cells: DataFrame, index: str | Sequence[str], value: str = "value") -> DataFrame:
+    """All cells of ``pivot_blocks`` as rows again: index, item, value."""
+    idx = _names(index)
+    rows = cells.select(*idx, "block", F.posexplode("cells").alias("place", value)).where(F.col(value).isNotNull())
+    return rows.join(layout, ["block", "place"]).select(*idx, "item", value)
 
 
 def pivot_composite(

@@ -39,6 +39,7 @@ def _load_all() -> None:
         job_queries,
         macro_queries,
         ranking_queries,
+        series_queries,
         store_queries,
         stream_queries,
     )

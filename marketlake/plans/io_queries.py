@@ -31,7 +31,7 @@ from marketlake.sinks.tables import (
     truncate_reload,
     with_run_date,
 )
-from marketlake.sources.files import drop_row_index, existing_keys, read_csv
+from marketlake.sources.files import drop_row_index, existing_keys, read_csv, read_parts
 from marketlake.sources.warehouse import list_tables, read_jdbc, table_row_counts
 
 DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -91,15 +91,39 @@ def drop_row_index_q(spark, sf_dir):
 
 @register(
     "raw_partitioned",
-    "SELECT c_mktsegment, COUNT(*) AS n_rows FROM customer GROUP BY 1",
+    "SELECT * FROM customer",
 )
 def raw_partitioned(spark, sf_dir):
     """K2: raw zone copy partitioned by an attribute (salted writers), read back by partition."""
     c = read_table(spark, sf_dir, "customer")
     path = scratch_path(spark, "raw")
     write_partitioned(c, path, ["c_mktsegment"], files_per_value=4)
-    back = spark.read.parquet(path)
-    return back.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.read.schema(c.schema).parquet(path).select(*c.columns)
+
+
+@register("csv_parts", "SELECT * FROM orders")
+def csv_parts(spark, sf_dir):
+    """One CSV part per order status, read as one table in a single scan, header held against the schema."""
+    o = read_table(spark, sf_dir, "orders")
+    paths = []
+    for status in ("F", "O", None):
+        paths.append(scratch_path(spark, "part"))
+        rest = ~F.col("o_orderstatus").isin("F", "O") | F.col("o_orderstatus").isNull()
+        write_csv(o.where(rest if status is None else F.col("o_orderstatus") == status), paths[-1])
+    return read_parts(spark, paths, "csv", o.schema)
+
+
+@register("load_by_position", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def load_by_position(spark, sf_dir):
+    """A load whose columns have other names fills the table's by position; another number of columns raises."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    root, name = scratch_path(spark, "tables"), _table_name("supplier")
+    create_if_absent(spark, name, s.schema, root)
+    try:
+        truncate_reload(s.drop("s_name"), name, root, by_position=True)
+    except ValueError:
+        return truncate_reload(s.toDF("a", "b", "c", "d"), name, root, by_position=True)
+    raise RuntimeError("a load of three columns filled a table of four")
 
 
 @register(
@@ -252,19 +276,21 @@ def truncate_reload_q(spark, sf_dir):
 
 @register("atomic_replace", "SELECT * FROM part")
 def atomic_replace(spark, sf_dir):
-    """K8: v1 -> v2 succeeds; a v3 whose writer fails midway leaves v2 readable."""
+    """K8: v1 -> v2 succeeds; a v3 of other rows whose writer fails midway must raise and leaves v2 readable."""
     p = read_table(spark, sf_dir, "part")
     root, name = scratch_path(spark, "tables"), _table_name("part")
     replace_table(p.where(F.col("p_size") <= 25), name, root)
     replace_table(p, name, root)
     failing = p.withColumn(
         "p_name", F.when(F.col("p_size") == 1, F.raise_error(F.lit("simulated writer failure")))
-        .otherwise(F.col("p_name")))
+        .otherwise(F.concat(F.lit("v3 "), F.col("p_name"))))
     try:
         replace_table(failing, name, root)
-    except Exception:
-        pass
-    return spark.table(name)
+    except Exception as e:
+        if "simulated writer failure" in str(e):
+            return spark.table(name)
+        raise
+    raise RuntimeError("a version whose writer failed was published")
 
 
 @register("create_if_absent", "SELECT * FROM customer")
@@ -289,7 +315,8 @@ def empty_guard(spark, sf_dir):
 # ----------------------------------------------------------------- replication
 
 
-LIST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+LIST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+               "pages", "benchmark", "labels", "conversations"]
 
 
 @register(

@@ -8,7 +8,7 @@ E4 manifest-driven history load    E8 schema replication
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,31 +45,42 @@ def macro_wide_job(
     rename (P1/P3)] -> processed CSV sorted by TIME (K1) -> reload table (K7).
 
     ``columns`` maps item -> output name and fixes the output columns; without
-    it the listed ``items`` become the columns. ``raw_path=None`` skips the
+    it the listed ``items`` become the columns, and without both the items found; then an item that
+    vanishes stays a column of the table, all NULL. ``raw_path=None`` skips the
     landing (re-running from the raw zone itself: ``long`` already is it).
     """
+    values = list(columns) if columns else (list(items) if items else None)
+
+    def shape(raw: DataFrame) -> DataFrame:
+        wide = pivot_first(filter_in(raw, key, items) if items else raw, index, key, value, order, values)
+        return wide.select(index, *[F.col(f"`{k}`").alias(v) for k, v in columns.items()]) if columns else wide
+
+    return series_job(long, shape, raw_path, processed_path, table, root, [index], evolve=values is None)
+
+
+def series_job(long: DataFrame, shape: Callable[[DataFrame], DataFrame], raw_path: str | None, processed_path: str | None,
+               table: str, root: str, sort_by: Sequence[str], evolve: bool = False) -> DataFrame:
+    """E1 for any series: land raw (K2) -> ``shape`` -> processed CSV sorted by ``sort_by`` (K1) -> reload table (K7).
+
+    Each step reads what the one before has written. Without a path a step is left out. ``evolve``: the
+    columns come from the data; one that vanished stays in the table, all NULL.
+    """
     spark = long.sparkSession
-    if raw_path is None:
-        raw = long
-    else:
+    if raw_path is not None:
         write_parquet(long, raw_path)
-        raw = spark.read.parquet(raw_path)
-    if items:
-        raw = filter_in(raw, key, items)
-    values = list(columns) if columns else (list(items) if items else None)
-    wide = pivot_first(raw, index, key, value, order, values)
-    if columns:
-        wide = wide.select(index, *[F.col(f"`{k}`").alias(v) for k, v in columns.items()])
-    write_csv(wide, processed_path, sort_by=[index])
-    processed = read_csv(spark, processed_path, schema=wide.schema, check_header=True)
-    return truncate_reload(processed, table, root)
+        long = spark.read.parquet(raw_path)
+    wide = shape(long)
+    if processed_path is not None:
+        write_csv(wide, processed_path, sort_by=list(sort_by))
+        wide = read_csv(spark, processed_path, schema=wide.schema, check_header=True)
+    return truncate_reload(wide, table, root, evolve=evolve)
 
 
 def statements_job(parts: Sequence, keys: Sequence[str], values: Sequence[Sequence[str]] | None,
                    order: str | Sequence[str], table: str, root: str, drop: Sequence[str] = ()) -> DataFrame:
     """Overlapping yearly parts (U2) -> year -> date (X1) -> composite pivot (A4) -> table.
 
-    ``parts`` are DataFrames (overlaps collapse in the pivot's "first"), or
+    Without ``values`` the columns are the keys found; one that vanished stays, all NULL. ``parts`` are DataFrames (overlaps collapse in the pivot's "first"), or
     ``(df, condition)`` pairs, in which case overlaps are removed at the scans
     (first fetch wins). The reference only printed this result; here it is stored.
     """
@@ -79,7 +90,7 @@ def statements_job(parts: Sequence, keys: Sequence[str], values: Sequence[Sequen
         merged = union_all(parts)
     stmts = merged.drop(*drop).withColumn("Date", parse_year("TIME"))
     wide = pivot_composite(stmts, "Date", keys, "DATA_VALUE", order, values)
-    return truncate_reload(wide, table, root)
+    return truncate_reload(wide, table, root, evolve=values is None)
 
 
 def history_refresh_job(

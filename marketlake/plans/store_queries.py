@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from marketlake.operators.common import bounded_values
 from marketlake.operators.volatility import daily_first_price
 from marketlake.plans import job_queries, store_jobs  # noqa: F401  job_queries registers the SQL that is used here
 from marketlake.plans.catalog import ORACLE, register
@@ -15,6 +16,7 @@ from marketlake.plans.standins import companies, price_history
 from marketlake.session import read_table, scratch_path
 from marketlake.sinks.files import write_parquet, write_partitioned
 from marketlake.sinks.history_store import HistoryStore
+from marketlake.sources.price_lookup import price_lookup
 from marketlake.streaming.keyed import stream_into_store
 
 PRICES = "code bigint, date date, price double, row_key bigint"
@@ -120,3 +122,13 @@ def stream_store(spark, sf_dir):
     stream_into_store(spark, src, store, ckpt, maxFilesPerTrigger=1)
     stream_into_store(spark, src, store, ckpt, maxFilesPerTrigger=1)
     return store.read()
+
+
+@register("price_lookup", ORACLE["history_since"])
+def price_lookup_q(spark, sf_dir):
+    """The landed prices of the top 100 (one folder per code), looked up by code and from a day on
+    through a data source of its own, which takes both filters."""
+    top = ranked_companies(spark, sf_dir).select("code")
+    landed = scratch_path(spark, "landed")
+    write_partitioned(price_history(spark, sf_dir).select(*COLS).join(top, "code", "left_semi"), landed, ["code"])
+    return price_lookup(spark, landed, PRICES, bounded_values(top, "code", 100), "1998-01-01")

@@ -75,7 +75,7 @@ US_HISTORY_TEXT = StructType([
     StructField("OpenValue", StringType(), True),
 ])
 
-# Declared record of the Avro history files: Date as text, prices float32 nullable.
+# Declared record of the Avro history files (Date as text, prices float32).
 AVRO_HISTORY_FIELDS = [
     ("Date", StringType()),
     ("Open", FloatType()),
@@ -87,20 +87,21 @@ AVRO_HISTORY_FIELDS = [
     ("name", StringType()),
     ("code", StringType()),
 ]
-AVRO_HISTORY = StructType([StructField(n, t, True) for n, t in AVRO_HISTORY_FIELDS])
+AVRO_REQUIRED = ["Date", "name", "code"]
+AVRO_HISTORY = StructType([StructField(n, t, n not in AVRO_REQUIRED) for n, t in AVRO_HISTORY_FIELDS])
 
 AVRO_HISTORY_JSON = """{
-  "type": "record", "name": "StockHistory",
+  "type": "record", "name": "StockData",
   "fields": [
-    {"name": "Date", "type": ["string", "null"]},
+    {"name": "Date", "type": "string"},
     {"name": "Open", "type": ["float", "null"]},
     {"name": "High", "type": ["float", "null"]},
     {"name": "Low", "type": ["float", "null"]},
     {"name": "Close", "type": ["float", "null"]},
     {"name": "Volume", "type": ["float", "null"]},
     {"name": "Change", "type": ["float", "null"]},
-    {"name": "name", "type": ["string", "null"]},
-    {"name": "code", "type": ["string", "null"]}
+    {"name": "name", "type": "string"},
+    {"name": "code", "type": "string"}
   ]
 }"""
 

@@ -91,15 +91,26 @@ def replace_table(
     partition, which a single location swap cannot move atomically (use
     ``sinks.files.write_partitioned`` with dynamic overwrite for those).
     """
+    staged, loc = _stage(df, name, root, fmt)
+    if verify is not None and not verify(staged):
+        raise RuntimeError(f"verification of the new version of {name} failed; {name} unchanged")
+    return _publish(staged, name, loc, fmt)
+
+
+def _stage(df: DataFrame, name: str, root: str, fmt: str) -> tuple[DataFrame, str]:
+    """A new version of ``name``, written but not published, and its path."""
     spark = df.sparkSession
     if table_exists(spark, name):
         new = [f for f in df.schema.fields if f.name.lower() not in {c.lower() for c in spark.table(name).columns}]
         df = align_to(df, StructType([*spark.table(name).schema.fields, *new]))
     loc = _version_path(root, name)
     df.write.format(fmt).mode("errorifexists").save(loc)
-    staged = spark.read.format(fmt).load(loc)
-    if verify is not None and not verify(staged):
-        raise RuntimeError(f"verification of the new version of {name} failed; {name} unchanged")
+    return spark.read.schema(df.schema).format(fmt).load(loc), loc
+
+
+def _publish(staged: DataFrame, name: str, loc: str, fmt: str) -> DataFrame:
+    """Point the table at its new version, in one catalog update."""
+    spark = staged.sparkSession
     if table_exists(spark, name):
         add_new_columns(staged, name)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{loc}'")
@@ -126,11 +137,21 @@ def truncate_reload(df: DataFrame, name: str, root: str, by_position: bool = Fal
 
 
 def guarded_replace(df: DataFrame, name: str, root: str, fmt: str = "parquet") -> DataFrame:
-    """F5 + K7: an empty input keeps the current table instead of emptying it."""
+    """F5 + K7: an empty input keeps the current table instead of emptying it.
+
+    The input is evaluated once, by the write; whether it had rows is read from the
+    written version, which is deleted if it had none.
+    """
+    from marketlake.sources.files import delete_path
+
     spark = df.sparkSession
-    if df.isEmpty():
+    if not table_exists(spark, name):
+        return replace_table(df, name, root, fmt)
+    staged, loc = _stage(df, name, root, fmt)
+    if staged.isEmpty():
+        delete_path(spark, loc)
         return spark.table(name)
-    return replace_table(df, name, root, fmt)
+    return _publish(staged, name, loc, fmt)
 
 
 def append_rows(df: DataFrame, name: str) -> DataFrame:

@@ -15,7 +15,8 @@ def test_cli_parser_covers_every_job():
 
     jobs = set(parser()._subparsers._group_actions[0].choices)
     assert jobs == {"series", "rank-publish", "snapshot", "per-key-upsert", "history-refresh", "manifest-load",
-                    "volatility", "retention", "replicate"}
+                    "volatility", "retention", "replicate", "manifest-publish", "vacuum", "store-refresh", "store-stream",
+                    "store-retention", "store-vacuum"}
 
 
 def test_cli_series_job_in_a_fresh_process():
