@@ -247,7 +247,7 @@ def test_near_lines_by_brute_force(spark):
             for i in rnd.sample(range(n), rnd.randint(1, max(1, n // 5))):
                 copy[i] = rnd.choice([word(), copy[i] + "s", "", f"{word()} {copy[i]}"])
             pairs.append((" ".join(line), " ".join(w for w in copy if w)))
-    near = [i for i, (a, b) in enumerate(pairs) if 100 * edit_distance(a, b) <= 20 * max(len(a), len(b)) and len(b.split()) >= 5 and a != b]
+    near = [i for i, (a, b) in enumerate(pairs) if 100 * edit_distance(a, b) <= 20 * max(len(a), len(b)) and (len(b.split()) >= 5 or len(b) >= 20) and a != b]
     rows = [(2 * i + j, line) for i, pair in enumerate(pairs) for j, line in enumerate(pair)]
     gone = {r.doc_id for r in line_report(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()}
     assert len(near) > 50 and len([i for i in near if 2 * i + 1 in gone]) >= 0.98 * len(near)
@@ -329,3 +329,22 @@ def test_pipeline_stages(spark):
             sets = {r.doc_id: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for r in docs.collect() if len(w := r.text.encode().lower().split()) >= 5}
             assert not [1 for a, b in itertools.combinations(sets.values(), 2) if 100 * len(a & b) >= 80 * len(a | b)]
     assert corpus_pipeline.encode(spark, docs, SF_SMALL).count() == count
+
+
+@pytest.mark.parametrize("words, typos", [(15, 10), (30, 12)])
+def test_lines_with_typing_errors_in_most_words(spark, words, typos):
+    """One wrong letter in most words: some 90 % edit similarity, few words left whole."""
+    rnd = random.Random(words)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 10)))
+    vocabulary = [word() for _ in range(3000)]
+    rows = []
+    for k in range(150):
+        line = [rnd.choice(vocabulary) for _ in range(words)]
+        copy = list(line)
+        for i in rnd.sample(range(words), typos):
+            at = rnd.randrange(len(copy[i]))
+            copy[i] = copy[i][:at] + rnd.choice("0123456789") + copy[i][at + 1:]
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(copy))]
+    near = [k for k in range(150) if 100 * edit_distance(rows[2 * k][1], rows[2 * k + 1][1]) <= 20 * max(len(rows[2 * k][1]), len(rows[2 * k + 1][1]))]
+    gone = {r.doc_id for r in line_report(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert len(near) > 140 and len([k for k in near if 2 * k + 1 in gone]) >= 0.95 * len(near)
