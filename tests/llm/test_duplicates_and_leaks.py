@@ -9,13 +9,14 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 import corpus_pipeline
 from conftest import SF_SMALL
 from marketlake.llm import queries
 from marketlake.llm.components import components
 from marketlake.llm.decontam import SeedTable, benchmark_overlaps, clean_documents, token_codes
-from marketlake.llm.fuzzy_lines import line_report, without_repeated_lines
+from marketlake.llm.fuzzy_lines import MOST_BITS, SAMPLE, line_report, with_simhash, without_repeated_lines
 from marketlake.llm.minhash import Similar, near_duplicates
 from marketlake.llm.sharding import assign_shards, write_shards
 from marketlake.llm.substring import SuffixAutomaton, remove_repeats
@@ -254,6 +255,39 @@ def test_near_lines_by_brute_force(spark):
     assert gone <= {2 * i + 1 for i, (a, b) in enumerate(pairs) if a == b or i in near}
 
 
+def chained(*values, seed=42):
+    """Spark's xxhash64 of strings, longs and ints, unsigned."""
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v.to_bytes(4 if 0 <= v < 2 else 8, "little")
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed
+
+
+def brute_simhash(text):
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    sample = sorted({chained(*text[i : i + 3] or [""]) for i in range(len(text) or 1)}, key=signed)[:SAMPLE]
+    votes = [[chained(x, seed) for x in sample] for seed in (0, 1)]
+    return tuple(signed(sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in own) > len(own))) for own in votes)
+
+
+def test_simhash_of_lines(spark):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 9))) for _ in range(3000)]
+    texts = ["", "a", "ab", "\u4e00\u4e8c\U0001f600x", "aaaa" * 50, " ".join(words[:400])]
+    for n in (8, 15, 30, 100):
+        for _ in range(40):
+            line = [rnd.choice(words) for _ in range(n)]
+            near = [w if i % 2 else w[:1] + "z" + w[2:] for i, w in enumerate(line)]  # a wrong letter in every second word
+            texts += [" ".join(line), " ".join(near), " ".join(rnd.choice(words) for _ in range(n))]
+    rows = with_simhash(spark.createDataFrame(list(enumerate(texts)), "h long, norm string")).collect()
+    sims = {r.h: (r.sim.s0, r.sim.s1) for r in rows}
+    assert [t for i, t in enumerate(texts) if sims[i] != brute_simhash(t)] == []
+    bits = lambda i, j: sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(sims[i], sims[j]))
+    first = range(6, len(texts), 3)
+    assert sum(bits(i, i + 1) <= MOST_BITS for i in first) >= 0.99 * len(first)
+    assert sum(bits(i, i + 2) <= MOST_BITS for i in first) <= 0.2 * len(first)
+
+
 def test_lines_of_short_words_or_without_spaces(spark):
     rnd = random.Random(6)
     han = "".join(chr(rnd.randrange(0x4E00, 0x9F00)) for _ in range(60))
