@@ -99,10 +99,15 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, fl
     order = {k: i for i, k in enumerate(KINDS)}
     base.sort(key=lambda s: (s[1], order[s[0]]))
     more = []
+    # Candidates come in order and apart, base spans by start: one sweep, in which ``reach`` is the
+    # furthest end of the base spans that start before the candidate ends.
+    at, reach = 0, -1
     for m in CANDIDATE.finditer(text):
-        token = m[0]
-        if not any(s < m.end() and m.start() < e for _, s, e in base):
-            found = battery(token)
+        while at < len(base) and base[at][1] < m.end():
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach <= m.start():
+            found = battery(m[0])
             if found and found[1] >= RANDOM_LEVEL:
                 more.append((m.start(), m.end(), found[2]))
     return base, more

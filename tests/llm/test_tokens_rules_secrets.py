@@ -16,7 +16,7 @@ from conftest import SF_SMALL
 from marketlake.llm import queries
 from marketlake.llm.bpe_codec import encode_decode
 from marketlake.llm.host_rules import Rules, judge, repeated_words
-from marketlake.llm.secrets import battery, find_secrets, scan, smallest_bins
+from marketlake.llm.secrets import CANDIDATE, RANDOM_LEVEL, battery, find_secrets, scan, smallest_bins
 from marketlake.llm.text import scan_words
 from marketlake.llm.token_counts import MergeCounter, token_counts
 
@@ -186,3 +186,17 @@ def test_benjamini_hochberg_by_brute_force():
     for (b, s), n in histogram.items():
         assert (b >= least[s]) == (10 ** (-b / 20) * mean / (s + 1) <= top)
     assert smallest_bins({}, 0.01)[0] > 1000 or smallest_bins({}, 0.01)[0] == 400
+
+
+def test_candidates_beside_base_spans_are_swept_once():
+    rnd = random.Random(12)
+    token = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    kinds = [lambda: token("0123456789abcdef", 30), lambda: token("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 40), lambda: f"secret={token('abcXYZ019', 20)}", lambda: "AKIA" + token("ABCDEFG2345", 16), lambda: "plain words"]
+    text = "\n".join(rnd.choice(kinds)() for _ in range(600))
+    base, more = scan(text)
+    want = []
+    for m in CANDIDATE.finditer(text):
+        found = battery(m[0])
+        if not any(s < m.end() and m.start() < e for _, s, e in base) and found and found[1] >= RANDOM_LEVEL:
+            want.append((m.start(), m.end(), found[2]))
+    assert more == want and len(more) > 20 and len(base) > 200
