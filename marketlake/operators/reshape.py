@@ -122,9 +122,15 @@ def pivot_blocks(df: DataFrame, index: str | Sequence[str], key: str, value: str
         "item", F.floor(number / width).cast("int").alias("block"), (number % width).cast("int").alias("place"))
     layout = cut_lineage(layout)
     placed = first.join(layout, first[key] == layout["item"]).groupBy(*idx, "block").agg(
-        F.map_from_entries(F.collect_list(F.struct("place", "__v"))).alias("__m"))
-    cells = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda p: F.try_element_at("__m", p))
-    return layout, placed.select(*idx, "block", cells.alias("cells"))
+        F.sort_array(F.collect_list(F.struct("place", "__v"))).alias("__held"))
+    # Each value with the empty places before it, then those after the last: one pass, whatever the width.
+    none = F.lit(None).cast(first.schema["__v"].dataType)
+
+    def spaced(x: Column, i: Column) -> Column:
+        return F.concat(F.array_repeat(none, x["place"] - F.coalesce(F.get("__held", i - 1)["place"], F.lit(-1)) - 1), F.array(x["__v"]))
+
+    rest = F.array_repeat(none, F.lit(width - 1) - F.element_at("__held", -1)["place"])
+    return layout, placed.select(*idx, "block", F.concat(F.flatten(F.transform("__held", spaced)), rest).alias("cells"))
 
 
 def block_columns(layout: DataFrame, cells: DataFrame, index: str | Sequence[str], items: Sequence) -> DataFrame:

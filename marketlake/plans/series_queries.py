@@ -14,6 +14,7 @@ from marketlake.plans.jobs import series_job
 from marketlake.plans.macro_queries import DAY_SQL
 from marketlake.plans.standins import EVENT_TYPES, MISSING_VALUE_SQL, pivot_sql, stat_long
 from marketlake.session import read_table, scratch_path
+from marketlake.sinks.files import write_partitioned
 from marketlake.sources.files import read_csv
 from marketlake.sources.statistics import read_large_statistics, to_stat_long
 
@@ -119,15 +120,19 @@ def _by_id():
     return Window.orderBy("event_id")  # the stand-in is one file
 
 
+FOLDER_BLOCKS = 64
+
+
 @register(
     "pivot_sparse",
     """SELECT l_returnflag AS "TIME", CAST(l_orderkey AS VARCHAR) AS item, arg_min(l_extendedprice, (l_linenumber, l_partkey, l_extendedprice)) AS value
 FROM lineitem WHERE l_returnflag IS NOT NULL AND l_orderkey IS NOT NULL AND l_extendedprice IS NOT NULL GROUP BY 1, 2""",
 )
 def pivot_sparse(spark, sf_dir):
-    """A3, A4 with an item per order (15,000 at sf0.01): blocks of 1,000 places instead of columns, written and read as rows again."""
+    """A3, A4 with an item per order (15,000 at sf0.01): blocks of 1,000 places instead of columns, written
+    (a folder holds FOLDER_BLOCKS of them, not one) and read as rows again."""
     long = read_table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("TIME"), F.col("l_orderkey").cast("string").alias("ITEM_NAME1"), F.col("l_extendedprice").alias("DATA_VALUE"), "l_linenumber", "l_partkey", "l_extendedprice")
     layout, cells = pivot_blocks(long, "TIME", "ITEM_NAME1", "DATA_VALUE", ["l_linenumber", "l_partkey", "l_extendedprice"])
-    cells.write.partitionBy("block").parquet(path := scratch_path(spark, "blocks"))
+    write_partitioned(cells.withColumn("blocks", F.floor(F.col("block") / FOLDER_BLOCKS)), path := scratch_path(spark, "blocks"), ["blocks"])
     return block_values(layout, spark.read.schema(cells.schema).parquet(path), "TIME")
