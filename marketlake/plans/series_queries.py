@@ -13,7 +13,7 @@ from marketlake.plans.catalog import register
 from marketlake.plans.jobs import series_job
 from marketlake.plans.macro_queries import DAY_SQL
 from marketlake.plans.standins import EVENT_TYPES, MISSING_VALUE_SQL, pivot_sql, stat_long
-from marketlake.session import read_table, scratch_path
+from marketlake.session import cut_lineage, read_table, scratch_path
 from marketlake.sinks.files import write_partitioned
 from marketlake.sources.files import read_csv
 from marketlake.sources.statistics import read_large_statistics, to_stat_long
@@ -98,11 +98,15 @@ def json_large(spark, sf_dir):
     record = F.to_json(F.struct(
         F.concat("event_type", F.lit(' "}{[,\\')).alias("STAT_NAME"), F.col("event_type").alias("ITEM_NAME1"), stat_time("ts").alias("TIME"),
         F.col("value").cast("string").alias("DATA_VALUE"), json_field("props", "$.k", "string").alias("EXTRA_FIELD")))
-    count = ev.count()
-    lines = ev.select("event_id", F.concat(record, F.when(F.row_number().over(_by_id()) < count, F.lit(",")).otherwise(F.lit("]}}"))).alias("value"))
-    head = spark.createDataFrame([(None, f'{{"StatisticSearch": {{"list_total_count": {count}, "row": [')], "event_id long, value string")
+    # Sorted and numbered by many tasks; the one that writes the document's single file only copies.
+    lines = ev.select("event_id", record.alias("record")).orderBy(F.col("event_id").asc_nulls_first())
+    lines = cut_lineage(lines.select(F.monotonically_increasing_id().alias("n"), "record"))
+    count, first, last = lines.agg(F.count(F.lit(1)), F.min("n"), F.max("n")).first()
+    head = f'{{"StatisticSearch": {{"list_total_count": {count}, "row": [\n'
+    n = F.col("n")
+    value = F.concat(F.when(n == first, F.lit(head)).otherwise(F.lit("")), "record", F.when(n < last, F.lit(",")).otherwise(F.lit("]}}")))
     path = scratch_path(spark, "response")
-    head.unionByName(lines).orderBy(F.col("event_id").asc_nulls_first()).coalesce(1).select("value").write.text(path)
+    lines.select(value.alias("value")).coalesce(1).write.text(path)
     piece = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(piece)
     spark.conf.set(piece, str(256 << 10))
@@ -114,12 +118,6 @@ def json_large(spark, sf_dir):
     return spark.read.parquet(parsed)
 
 
-def _by_id():
-    from pyspark.sql import Window
-
-    return Window.orderBy("event_id")  # the stand-in is one file
-
-
 FOLDER_BLOCKS = 64
 
 

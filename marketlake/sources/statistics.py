@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from marketlake.operators.common import PER_KEY_BROADCAST_ROWS
 from marketlake.schemas import STAT_ROW_TEXT, envelope_schema
 
 FILE_ORDER = ["source_file", "row_pos"]
@@ -93,7 +94,8 @@ def read_large_statistics(
     provider sends them. A document without the envelope has no rows, or raises with ``strict``; one that breaks off raises.
     """
     file, block = "source_file", "__block"
-    pieces = spark.read.option("lineSep", "}").text([paths] if isinstance(paths, str) else list(paths)).select(
+    landed = spark.read.option("lineSep", "}").text([paths] if isinstance(paths, str) else list(paths))
+    pieces = landed.select(
         F.col("value").alias("__text"), F.col("_metadata.file_path").alias(file), F.col("_metadata.file_block_start").alias(block), F.monotonically_increasing_id().alias("__n"))
     plain = F.regexp_replace("__text", r"\\.", "")  # without escaped characters
     pieces = pieces.withColumn("__quotes", F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit(""))))
@@ -119,6 +121,8 @@ def read_large_statistics(
     records = records.select(file, "row_pos", text.alias("__text"), body.alias("__body"))
     bracket = F.regexp_like("__text", F.lit(r"^\s*\]")) | ((F.col("row_pos") == 0) & F.regexp_like("__body", F.lit(r"^\s*\]")))
     shape = records.groupBy(file).agg(F.min(F.when(bracket, F.col("row_pos"))).alias("__end"), F.max((F.col("row_pos") == 0) & F.col("__body").isNotNull()).alias("__listed"))
+    if len(landed.inputFiles()) <= PER_KEY_BROADCAST_ROWS:  # one row per file: a document's records stay in the tasks that they are in
+        shape = F.broadcast(shape)
     rows = records.join(shape, file)
     broken = F.raise_error(F.concat(F.lit("a document that breaks off: "), F.col(file))).cast("string")
     missing = F.raise_error(F.concat(F.lit(f"response without {root}.row: "), F.col(file))).cast("string") if strict else F.lit(None).cast("string")

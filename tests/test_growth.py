@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.operators.reshape import block_values, pivot_blocks
 from marketlake.plans import series_queries
 from marketlake.sources.files import child_names
+from marketlake.sources.statistics import read_large_statistics
 
 
 @pytest.mark.parametrize("width", [1, 7, 400])
@@ -36,3 +37,42 @@ def test_pivot_sparse_writes_folders_of_many_blocks(spark, scratch, monkeypatch)
     want = {(r.l_returnflag, str(r.l_orderkey)): r.l_extendedprice for r in rows.orderBy(F.desc("l_partkey")).collect() if r.l_returnflag and r.l_extendedprice is not None}
     assert {(r.TIME, r["item"]): r.value for r in out.collect()} == want
     assert [n for n in child_names(spark, made[0]) if "=" in n] == ["blocks=0"]  # five blocks, not a folder each
+
+
+@pytest.fixture()
+def settings(spark):
+    """Session settings for one test."""
+    before = {}
+
+    def put(name, value):
+        before.setdefault(name, spark.conf.get(name, None))
+        spark.conf.set(name, value)
+
+    yield put
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_records_of_one_document_stay_in_many_tasks(spark, scratch, settings):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    settings("spark.sql.files.maxPartitionBytes", "4000")
+    rows = ",".join(f'{{"TIME": "{i}", "DATA_VALUE": "{i}"}}' for i in range(2000))
+    path = scratch("one")
+    spark.createDataFrame([('{"StatisticSearch": {"row": [' + rows + "]}}",)], "value string").coalesce(1).write.text(path)
+    got = read_large_statistics(spark, path).select("row_pos", "TIME", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r.row_pos, r.TIME) for r in got) == [(i, str(i)) for i in range(2000)]
+    assert len({r.task for r in got}) > 1
+
+
+def test_json_large_sorts_by_many_tasks(spark, scratch):
+    ids = [*range(500, 0, -1), 7, 7]
+    tables = scratch("tables")
+    for folder, chosen in ((tables, ids), (empty := scratch("empty"), [])):
+        rows = [(i, None, 1, f"t{i % 3}", i / 4, '{"k": 1}') for i in chosen]
+        spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").repartition(3).write.parquet(f"{folder}/events.parquet")
+    got = series_queries.json_large(spark, tables).orderBy("row_pos").collect()
+    assert [r.row_pos for r in got] == [*range(502)] and [r.DATA_VALUE for r in got] == [i / 4 for i in sorted(ids)]
+    assert [r.STAT_NAME for r in got] == [f't{i % 3} "}}{{[,\\' for i in sorted(ids)]
+    assert series_queries.json_large(spark, empty).count() == 0
+    assert not hasattr(series_queries, "_by_id")  # a window over the whole table is one task
