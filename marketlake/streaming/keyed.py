@@ -21,8 +21,12 @@ from marketlake.sinks.history_store import HistoryStore
 from marketlake.sources.files import child_names, delete_path, path_exists
 from marketlake.streaming.files import file_stream
 
-STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The state's settings while a stream runs. With a changelog a micro-batch writes what it changed; snapshots follow in the background.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+PARTITIONS = "spark.sql.shuffle.partitions"
 FORGET = "7 days"  # a run is expected to end within this time
 
 
@@ -38,12 +42,15 @@ def _run_record(spark: SparkSession, checkpoint_dir: str, version: int) -> tuple
     return run, version
 
 
-def stream_into_store(spark: SparkSession, source_dir: str, store: HistoryStore, checkpoint_dir: str, fmt: str = "parquet", schema: StructType | None = None, **source_options) -> None:
+def stream_into_store(spark: SparkSession, source_dir: str, store: HistoryStore, checkpoint_dir: str, fmt: str = "parquet", schema: StructType | None = None, state_partitions: int | None = None, **source_options) -> None:
     """The files of ``source_dir`` that no run has read yet -> the rows newer than their code's last day -> store.
 
     Equal rows of one run, in one file or several, are stored once. Rows without a code or a
     date are put aside by the store. Micro-batches join the store's index (one row per code) and the state; the stored
     rows are not read. ``schema`` is that of the files (default: the store's).
+
+    Every micro-batch opens and commits all partitions of the state, however few its rows. Their number is fixed
+    by the first run: ``state_partitions``, by default two per core but no more than the shuffle partitions.
     """
     schema = schema or store.schema
     run, began = _run_record(spark, checkpoint_dir, store.version())
@@ -63,13 +70,17 @@ def stream_into_store(spark: SparkSession, source_dir: str, store: HistoryStore,
         else:
             own.add(batch, tag=tag, newer_only=False)
 
-    before = spark.conf.get(STATE_PROVIDER)
-    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    parts = state_partitions or min(int(spark.conf.get(PARTITIONS)), 2 * spark.sparkContext.defaultParallelism)
+    settings = STATE | {PARTITIONS: str(parts)}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         query = once.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint_dir).outputMode("append").trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(STATE_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     delete_path(spark, f"{checkpoint_dir.rstrip('/')}-run")

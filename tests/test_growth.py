@@ -1,14 +1,18 @@
 """Work and files that grow no faster than the input: pivots in blocks, large responses, keyed streams."""
 
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketlake.operators.reshape import block_values, pivot_blocks
 from marketlake.plans import series_queries
+from marketlake.sinks.history_store import HistoryStore
 from marketlake.sources.files import child_names
 from marketlake.sources.statistics import read_large_statistics
+from marketlake.streaming.keyed import stream_into_store
 
 
 @pytest.mark.parametrize("width", [1, 7, 400])
@@ -76,3 +80,19 @@ def test_json_large_sorts_by_many_tasks(spark, scratch):
     assert [r.STAT_NAME for r in got] == [f't{i % 3} "}}{{[,\\' for i in sorted(ids)]
     assert series_queries.json_large(spark, empty).count() == 0
     assert not hasattr(series_queries, "_by_id")  # a window over the whole table is one task
+
+
+def test_a_stream_keeps_its_state_in_few_partitions(spark, scratch, settings):
+    settings("spark.sql.shuffle.partitions", "64")
+    schema = "code string, date date, price double, row_key long"
+    store = HistoryStore(spark, scratch("store"), StructType.fromDDL(schema), buckets=2)
+    landing, checkpoint = scratch("in"), scratch("ckpt")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    parts = (lambda: {n for n in child_names(spark, f"{checkpoint}/state/0") if n.isdigit()})
+    for i, day in enumerate(days):
+        spark.createDataFrame([("A", day, 1.0, i), ("A", day, 1.0, i), ("B", day, 2.0, i)], schema).coalesce(1).write.parquet(f"{landing}/{i}")
+        stream_into_store(spark, landing, store, checkpoint, maxFilesPerTrigger=1)
+        assert len(parts()) <= 2 * spark.sparkContext.defaultParallelism  # every micro-batch opens all of them
+    assert sorted((r.code, r.date, r.row_key) for r in store.read().collect()) == [(c, d, i) for c in "AB" for i, d in enumerate(days)]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", None) is None
