@@ -31,7 +31,7 @@ from marketlake.llm.text import Memo, bound_batches, by_batch, utf8, with_fields
 
 END = ""  # stands for the end-of-word suffix: one character, in no byte-level alphabet
 DECODE_STEP = 1 << 16  # identifiers decoded at a time
-CHUNKS, PIECES = 900_000, 500_000  # runs and words whose identifiers a worker keeps (about 250 MB)
+CHUNKS, PIECES = 450_000, 250_000  # runs and words whose identifiers a task keeps (about 125 MB)
 # The word pattern that the short cut below knows.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LATIN_END = "\u0250"
@@ -173,6 +173,11 @@ class Codec:
                 out.append(self.piece[piece])
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Empty the memos: the worker lives on, and its next task may be another operator's."""
+        for memo in (self.chunk, self.piece, self.compatible):
+            memo.clear()
+
     def encode(self, text: bytes) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.chunk.__getitem__, text.split())), "<u4")
 
@@ -223,6 +228,7 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", results: tuple[s
                     column.append(value[r](raw, decoded))
             return pa.StructArray.from_arrays([pa.array(n, pa.int64()), *[pa.array(c, RESULTS[r]) for c, r in zip(columns, results)]], ["n_tokens", *results])
 
+        each.done = codec.forget
         return each
 
     kind = "struct<n_tokens:bigint," + ",".join(f"{r}:{RESULTS[r]}" for r in results) + ">"

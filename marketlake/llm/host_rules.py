@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import SPACED, batch_bytes, bound_batches, by_batch, fresh, gram_codes, scan_places, utf8, with_fields
+from marketlake.llm.text import SPACED, batch_bytes, bound_batches, by_batch, by_bytes, fresh, gram_codes, scan_places, utf8, with_fields
 from marketlake.operators.common import join_per_key
 from marketlake.session import cut_lineage
 
@@ -69,8 +69,12 @@ def measure(texts: pa.Array) -> list[np.ndarray]:
     data, at = batch_bytes(texts)
     codes, begin, start, stop = scan_places(data, at, SPACED)
 
+    number = np.int32 if len(data) < 1 << 31 else np.int64
+
     def upto(flag: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.zeros(1, np.int64), np.cumsum(flag)])
+        out = np.zeros(len(flag) + 1, number)
+        np.cumsum(flag, out=out[1:])
+        return out
 
     def per_text(flag: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return np.diff(upto(flag)[bounds])
@@ -92,13 +96,19 @@ def measure(texts: pa.Array) -> list[np.ndarray]:
     return [np.diff(begin), points, np.diff(symbols[at]), np.array(dups, np.int64), np.array(repeats, np.int64), np.array(lines, np.int64), per_text(shouted, begin), per_text(marked, begin)]
 
 
+def measure_batch(texts: pa.Array) -> list[np.ndarray]:
+    """``measure`` slice by slice: its tables take some fifty times the bytes that it is given."""
+    parts = [measure(part) for part in by_bytes(texts)] or [measure(texts)]
+    return [np.concatenate(m) for m in zip(*parts)]
+
+
 def document_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     """Appends the METRICS (long) of each whole text; a null text counts as empty."""
     bound_batches(df.sparkSession)
 
     def make():
         def each(batch: pa.Array) -> pa.Array:
-            return pa.StructArray.from_arrays([pa.array(m, pa.int64()) for m in measure(batch)], METRICS)
+            return pa.StructArray.from_arrays([pa.array(m, pa.int64()) for m in measure_batch(batch)], METRICS)
 
         return each
 

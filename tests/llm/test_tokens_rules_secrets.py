@@ -200,3 +200,43 @@ def test_candidates_beside_base_spans_are_swept_once():
         if not any(s < m.end() and m.start() < e for _, s, e in base) and found and found[1] >= RANDOM_LEVEL:
             want.append((m.start(), m.end(), found[2]))
     assert more == want and len(more) > 20 and len(base) > 200
+
+
+def test_a_worker_gives_up_its_memos_when_a_task_ends():
+    import public_tokenizers
+    import pyarrow as pa
+
+    from marketlake.llm import bpe_codec, text
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    codec = bpe_codec.load_codec(path)
+
+    def make():
+        each = lambda batch: pa.array([len(codec.encode(t)) for t in text.utf8(batch)], pa.int64())
+        each.done = codec.forget
+        return each
+
+    run = text.by_batch(make)([pa.array(["some words of a text", None])])
+    assert next(run).to_pylist()[1] == 0 and len(codec.chunk)
+    assert list(run) == [] and not (codec.chunk or codec.piece or codec.compatible)
+
+
+def test_a_batch_is_measured_in_slices():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from marketlake.llm.host_rules import measure, measure_batch
+
+    texts = pa.array([*["a b! C#\nA! Wört\n" * 15_000, None, "", "x ## !! \n"] * 16, "y z " * 400_000, "end"]).slice(1)
+    alone = [[int(m[0]) for m in measure(texts.slice(i, 1))] for i in range(len(texts))]
+    tracemalloc.start()
+    got = measure_batch(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [list(map(int, m)) for m in zip(*got)] == alone and [len(m) for m in measure_batch(texts.slice(0, 0))] == [0] * 8
+    tracemalloc.start()
+    measure(texts)
+    whole = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 0.6 * whole
