@@ -16,7 +16,7 @@ from conftest import SF_SMALL
 from marketlake.llm import queries
 from marketlake.llm.components import components
 from marketlake.llm.decontam import SeedTable, benchmark_overlaps, clean_documents, token_codes
-from marketlake.llm.fuzzy_lines import MOST_BITS, SAMPLE, line_report, with_simhash, without_repeated_lines
+from marketlake.llm.fuzzy_lines import FAR_BITS, LONG, MOST_BITS, NEAR_BITS, SAMPLE, fuzzy_links, line_report, verified, with_simhash, without_repeated_lines
 from marketlake.llm.minhash import Similar, near_duplicates
 from marketlake.llm.sharding import assign_shards, write_shards
 from marketlake.llm.substring import SuffixAutomaton, remove_repeats
@@ -255,6 +255,40 @@ def test_near_lines_by_brute_force(spark):
     assert gone <= {2 * i + 1 for i, (a, b) in enumerate(pairs) if a == b or i in near}
 
 
+def test_verified_pairs_by_brute_force(spark):
+    """Whatever the SimHashes say, and on short and long lines, a pair's verdict is that of its edit distance."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefgh\u00e9") for _ in range(rnd.randint(2, 7)))
+    texts, pairs = [], []
+    for n in [6] * 12 + [25] * 12 + [LONG + 30] * 6:
+        for share in (0.02, 0.15, 0.25, 0.4, 1):
+            line = [word() for _ in range(n)]
+            changed = rnd.sample(range(n), max(1, int(n * share)))
+            copy = [(rnd.choice([word(), w + "s", "", f"{word()} {w}"]) if i in changed else w) for i, w in enumerate(line)]
+            pairs += [(len(texts), len(texts) + 1, bits) for bits in (0, NEAR_BITS + 1, FAR_BITS)]
+            texts += [" ".join(line), " ".join(w for w in copy if w)]
+    near = {a for a, b, bits in pairs if bits == 0 and 100 * edit_distance(texts[a], texts[b]) <= 20 * max(len(texts[a]), len(texts[b]))}
+    assert 30 < len(near) < len(texts) // 2 - 30
+    table = spark.createDataFrame(list(enumerate(texts)), "h long, norm string")
+    for bits in (0, NEAR_BITS + 1, FAR_BITS):
+        asked = spark.createDataFrame([p for p in pairs if p[2] == bits], "a long, b long, bits int")
+        assert {r.a for r in verified(asked, table, 80).collect()} == near
+
+
+def test_lines_of_other_lengths_need_no_text(spark):
+    """Of a bucket of two lines whose lengths rule the pair out, neither text is read and hashed."""
+    rows = [(1, 30, [7, 8], None, False, 1), (2, 90, [7, 8], None, False, 1), (3, 50, [5, 6], None, False, 1), (4, 45, [5, 6], None, False, 1)]
+    classes = spark.createDataFrame(rows, "h long, chars int, words array<long>, grams array<long>, alone boolean, n long")
+    asked = []
+
+    def texts_of(hashes):
+        asked.extend(r.h for r in hashes.collect())
+        return spark.createDataFrame([(i, "the same words of one line") for i in (1, 2, 3, 4)], "h long, norm string")
+
+    assert [(r.a, r.b) for r in fuzzy_links(classes, texts_of, 80).collect()] == [(3, 4)]
+    assert sorted(asked) == [3, 4]
+
+
 def chained(*values, seed=42):
     """Spark's xxhash64 of strings, longs and ints, unsigned."""
     for v in values:
