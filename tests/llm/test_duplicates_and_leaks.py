@@ -16,7 +16,7 @@ from conftest import SF_SMALL
 from marketlake.llm import queries
 from marketlake.llm.components import components
 from marketlake.llm.decontam import SeedTable, benchmark_overlaps, clean_documents, token_codes
-from marketlake.llm.fuzzy_lines import FAR_BITS, LONG, MOST_BITS, NEAR_BITS, SAMPLE, fuzzy_links, line_report, verified, with_simhash, without_repeated_lines
+from marketlake.llm.fuzzy_lines import FAR_BITS, LONG, MOST_BITS, NEAR_BITS, SAMPLE, fuzzy_links, line_report, piecewise, verified, with_simhash, without_repeated_lines
 from marketlake.llm.minhash import Similar, near_duplicates
 from marketlake.llm.sharding import assign_shards, write_shards
 from marketlake.llm.substring import SuffixAutomaton, remove_repeats
@@ -275,6 +275,25 @@ def test_verified_pairs_by_brute_force(spark):
         assert {r.a for r in verified(asked, table, 80).collect()} == near
 
 
+def test_distance_by_pieces_is_a_near_bound(spark):
+    """Never below the edit distance unless it says that the limit is passed; within the limit for copies that lost and won words."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefgh\u00e9") for _ in range(rnd.randint(2, 7)))
+    texts = [("", "", True), ("", "a", False), ("ab", "ab", True), ("ab" * 200, "ab" * 190, True)]
+    for n in [10] * 8 + [60] * 16 + [200] * 4:
+        for share in (0, 0.05, 0.5, 1):
+            line = [word() for _ in range(n)] if n < 200 else [w for _ in range(4) for w in [word()] * (n // 4)]
+            changed = rnd.sample(range(n), int(n * share))
+            copy = [(rnd.choice(["", f"{word()} {w}"]) if i in changed else w) for i, w in enumerate(line)]
+            texts.append((" ".join(line), " ".join(w for w in copy if w), share <= 0.05))
+    rows = spark.createDataFrame([(i, x, y, max(len(x), len(y)) // 5) for i, (x, y, _) in enumerate(texts)], "i long, x string, y string, most int")
+    bound = {r.i: r.d for r in rows.selectExpr("i", f"{piecewise()} as d").collect()}
+    for i, (x, y, near) in enumerate(texts):
+        most = max(len(x), len(y)) // 5
+        assert bound[i] > most if not near else edit_distance(x, y) <= bound[i] <= most
+        assert bound[i] >= min(edit_distance(x, y), most + 1)
+
+
 def test_lines_of_other_lengths_need_no_text(spark):
     """Of a bucket of two lines whose lengths rule the pair out, neither text is read and hashed."""
     rows = [(1, 30, [7, 8], None, False, 1), (2, 90, [7, 8], None, False, 1), (3, 50, [5, 6], None, False, 1), (4, 45, [5, 6], None, False, 1)]
